@@ -1,0 +1,201 @@
+import copy
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tributary.operators.normalize import normalize
+from tributary.operators.rules import classify
+
+BASE = {
+    "order_id": "ord1",
+    "order_date": "2024-01-05T10:00:00Z",
+    "order_status": "shipped",
+    "customer": {"customer_id": "c1", "customer_name": "n", "region": "r", "segment": "s"},
+    "supplier": {"supplier_id": "s1", "performance_score": 90, "lead_time_days": 3},
+    "shipment": {"delay_days": -2},
+    "items": [{"product_id": "p1", "quantity": 2, "unit_price": 5.0}],
+    "financials": {"total_amount": 10.0},
+    "warehouse": {"inventory_level": 7},
+}
+ABSENT = object()
+OK, LOST = "accepted", "unrouted"
+
+
+def document(*changes):
+    doc = copy.deepcopy(BASE)
+    for path, value in changes:
+        *parents, last = [int(p) if p.isdigit() else p for p in path.split(".")]
+        node = doc
+        for p in parents:
+            node = node[p]
+        if value is ABSENT:
+            del node[last]
+        else:
+            node[last] = value
+    return doc
+
+
+# change -> route, or the reason of a rejection
+TRUTH = [
+    ([], OK),
+    ([("order_id", ABSENT)], "missing order id "),
+    ([("order_id", None)], "missing order id "),
+    ([("order_id", "")], OK),
+    ([("order_date", ABSENT)], LOST),
+    ([("order_date", "05-01-2024")], OK),
+    ([("order_date", "garbage")], "Invalid or missing date"),
+    ([("order_date", "2024-01-05")], OK),
+    ([("order_date", "01/05/2024")], OK),
+    ([("order_status", ABSENT)], LOST),
+    ([("order_status", " In Transit ")], OK),
+    ([("order_status", "lost")], "Invalid order status"),
+    ([("customer.customer_id", ABSENT)], "missing customer id "),
+    ([("customer.customer_id", "")], OK),
+    ([("supplier.supplier_id", ABSENT)], "supplier id is mising "),
+    ([("supplier.performance_score", ABSENT)], LOST),
+    ([("supplier.performance_score", None)], LOST),
+    ([("supplier.performance_score", 0)], OK),
+    ([("supplier.performance_score", 100)], OK),
+    ([("supplier.performance_score", 101)], "unknown"),
+    ([("supplier.performance_score", -1)], "unknown"),
+    ([("supplier.supplier_performance_score", 120)], OK),
+    ([("supplier.lead_time_days", ABSENT)], OK),
+    ([("supplier.lead_time_days", -1)], "Invalid lead_time_Days < 0-1"),
+    ([("supplier.lead_time_days", -0.4)], OK),
+    ([("supplier.lead_time_days", -0.5)], "Invalid lead_time_Days < 0-0.5"),
+    ([("items", [])], "Missing product id "),
+    ([("items", ABSENT)], "Missing product id "),
+    ([("items.0.product_id", ABSENT)], "Missing product id "),
+    ([("items.0.quantity", ABSENT)], "unknown"),
+    ([("items.0.quantity", 0)], "invalid quantity0"),
+    ([("items.0.quantity", 0.4)], "invalid quantity0.4"),
+    ([("items.0.quantity", 0.5)], OK),
+    ([("items.0.quantity", "3")], OK),
+    ([("items.0.unit_price", ABSENT)], "Invalid unit_pricenull"),
+    ([("items.0.unit_price", -1)], "Invalid unit_price-1"),
+    ([("items.0.unit_price", 0)], OK),
+    ([("financials.total_amount", ABSENT)], "invalid total_amountNull"),
+    ([("financials.total_amount", -5)], "invalid total_amount-5"),
+    ([("financials.total_amount", 0)], OK),
+    ([("warehouse.inventory_level", ABSENT)], OK),
+    ([("warehouse.inventory_level", None)], LOST),
+    ([("warehouse.inventory_level", -1)], "invalid inventory_level < 0 -1"),
+    ([("warehouse", ABSENT)], OK),
+    ([("warehouse", None)], OK),
+    ([("shipment", ABSENT)], OK),
+    (
+        [("supplier.supplier_performance_score", 120), ("supplier.performance_score", 101)],
+        "Invalid performance score 101",
+    ),
+    (
+        [
+            ("supplier.supplier_performance_score", 120),
+            ("supplier.performance_score", ABSENT),
+            ("financials.total_amount", -1),
+        ],
+        None,
+    ),
+]
+
+
+def raw(spark, docs):
+    rows = [(i, json.dumps(d)) for i, d in enumerate(docs)]
+    return spark.createDataFrame(rows, "i int, text string").select(
+        "i",
+        F.parse_json("text").alias("raw_data"),
+        F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("ingested_at"),
+        F.lit("f.json").alias("file_name"),
+        (F.col("i") + 1).cast("decimal(38,0)").alias("file_row_number"),
+        F.lit("load").alias("load_id"),
+    )
+
+
+def outcomes(spark, docs, mode="reference"):
+    rows = classify(raw(spark, docs), mode).select("i", "route", "error_reason").orderBy("i").collect()
+    return [r.error_reason if r.route == "rejected" else r.route for r in rows]
+
+
+def test_truth_table(spark):
+    got = outcomes(spark, [document(*changes) for changes, _ in TRUTH])
+    assert got == [expected for _, expected in TRUTH]
+
+
+STRICT = [
+    [("items.0.quantity", "abc")],
+    [("supplier.performance_score", "n/a")],
+    [("shipment.delay_days", "x")],
+    [("order_date", "99-99-2024")],
+    [("order_date", "AB-CD-EFGH")],
+    [("supplier.supplier_performance_score", "x"), ("financials.total_amount", -1)],
+]
+
+
+@pytest.mark.parametrize("changes", STRICT, ids=lambda c: c[0][0])
+def test_reference_mode_fails_on_uncastable_values(spark, changes):
+    with pytest.raises(Exception, match="not a (number|date)"):
+        outcomes(spark, [document(*changes)])
+
+
+def test_strict_values_that_are_never_cast_do_not_fail(spark):
+    docs = [
+        # delay_days and the day-first date are read for accepted documents only
+        document(("shipment.delay_days", "x"), ("order_status", "lost")),
+        document(("order_date", "99-99-2024"), ("order_status", "lost")),
+        # the reason stops at an earlier branch, or no reason is needed
+        document(("supplier.supplier_performance_score", "x"), ("order_status", "lost")),
+        document(("supplier.supplier_performance_score", "x")),
+    ]
+    assert outcomes(spark, docs) == ["Invalid order status"] * 3 + [OK]
+
+
+def test_tolerant_mode_routes_everything(spark):
+    docs = [document(*c) for c, _ in TRUTH] + [document(*c) for c in STRICT]
+    got = outcomes(spark, docs, "tolerant")
+    assert LOST not in got
+    for (_, expected), actual in zip(TRUTH, got):
+        if expected != LOST:
+            assert actual == expected
+    assert outcomes(spark, [document(("order_date", ABSENT))], "tolerant") == ["missing order date"]
+    assert outcomes(spark, [document(("warehouse.inventory_level", None))], "tolerant") == [
+        "null inventory level"
+    ]
+    assert got[-6] == "not a number: quantity abc"
+    assert got[-2] == "not a date: order_date AB-CD-EFGH"
+
+
+def test_normalisation(spark):
+    docs = [
+        document(
+            ("order_id", " a1 "),
+            ("order_date", "05-01-2024"),
+            ("customer.customer_name", ABSENT),
+            ("customer.region", ""),
+            ("shipment.ship_date", "bad"),
+            ("shipment.estimated_delivery", "2024-13-45"),
+            ("items.0.quantity", 2.5),
+        ),
+        document(
+            ("order_date", "2024-01-05T10:00:00+02:00"),
+            ("shipment.ship_date", "2024-01-06T01:02:03Z"),
+            ("shipment.estimated_delivery", "2024-01-09T23:00:00Z"),
+            ("shipment.delay_days", "4"),
+            ("warehouse", ABSENT),
+            ("items", [BASE["items"][0], {"product_id": None, "quantity": -1}]),
+        ),
+        document(("order_date", "1704448800"), ("shipment.ship_date", "1704448800123")),
+    ]
+    rows = normalize(classify(raw(spark, docs)).where("route = 'accepted'")).orderBy("file_row_number").collect()
+    first, second, third = rows
+    assert first.order_id == "A1"
+    assert str(first.order_date) == "2024-01-05 00:00:00"
+    assert (first.customer_name, first.customer_region) == ("UNKNOWN", "")
+    assert (first.ship_date, first.estimated_delivery) == (None, None)
+    assert (first.quantity, first.delay_days, first.inventory_level) == (3, 0, 7)
+    assert str(second.order_date) == "2024-01-05 10:00:00"
+    assert str(second.ship_date) == "2024-01-06 01:02:03"
+    assert str(second.estimated_delivery) == "2024-01-09"
+    assert (second.delay_days, second.inventory_level, second.warehouse_id) == (4, 0, "UNKNOWN")
+    assert second.product_id == "P1"
+    assert str(third.order_date) == "2024-01-05 10:00:00"
+    assert str(third.ship_date) == "2024-01-05 10:00:00.123000"
