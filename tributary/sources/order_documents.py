@@ -7,6 +7,7 @@ aggregates, so an order with any number of lines never gathers in one place.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -161,18 +162,45 @@ def order_documents(spark: SparkSession, sf_dir: str, revision: int = 1) -> Data
     return _orders_with_parties(spark, sf_dir).select("o_orderkey", text.alias("document"))
 
 
+ORDERS_PER_FILE = 1000
+
+
+def in_batch(documents: DataFrame, revision: int) -> DataFrame:
+    """The orders of one merge batch; each order is in it once."""
+    third = F.col("o_orderkey") % 3
+    return documents.where({1: third < 2, 2: third > 0, 3: third == 1}[revision])
+
+
 def raw_orders(spark: SparkSession, sf_dir: str, revision: int = 1) -> DataFrame:
-    """The documents as bronze rows; a thousand order numbers share a file name."""
+    """The documents as bronze rows."""
     key = F.col("o_orderkey")
+    file_no = F.floor(key / ORDERS_PER_FILE).cast("string")
     return order_documents(spark, sf_dir, revision).select(
         key,
         F.parse_json("document").alias("raw_data"),
         F.lit("1970-01-01 00:00:00").cast("timestamp_ntz").alias("ingested_at"),
-        file_name(key, revision).alias("file_name"),
-        (key % 1000 + 1).cast("decimal(38,0)").alias("file_row_number"),
+        F.concat(F.lit(f"r{revision}-"), file_no, F.lit(".json")).alias("file_name"),
+        (key % ORDERS_PER_FILE + 1).cast("decimal(38,0)").alias("file_row_number"),
         F.lit(f"load-{revision}").alias("load_id"),
     )
 
 
-def file_name(key: Column, revision: int) -> Column:
-    return F.concat(F.lit(f"r{revision}-"), F.floor(key / 1000).cast("string"), F.lit(".json"))
+def write_files(documents: DataFrame, folder: str, array: bool = True) -> None:
+    """The documents as text files of up to a thousand orders, ``file_no=<n>/...``.
+
+    A file is one array over several lines, or one document per line. Every
+    fifth file is cut off after its last document and so malformed.
+    """
+    numbered = documents.withColumn("file_no", F.floor(F.col("o_orderkey") / ORDERS_PER_FILE))
+    in_file = W.partitionBy("file_no").orderBy("o_orderkey")
+    is_first, is_last = F.lag("o_orderkey").over(in_file).isNull(), F.lead("o_orderkey").over(in_file).isNull()
+    start, separator, end = ("[", ",", "]") if array else ("", "", "")
+    broken = F.col("file_no") % 5 == 3
+    line = F.concat(
+        F.when(is_first, start).otherwise(""),
+        F.col("document"),
+        F.when(is_last, F.when(broken, "{").otherwise(end)).otherwise(separator),
+    )
+    numbered.select("file_no", "o_orderkey", line.alias("value")).sortWithinPartitions(
+        "file_no", "o_orderkey"
+    ).select("file_no", "value").write.partitionBy("file_no").mode("append").text(folder)
