@@ -1,7 +1,4 @@
-"""Lenient date and time parsing: a text that cannot be read becomes NULL."""
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+"""Lenient date and time parsing, as SQL expressions: unreadable text becomes NULL."""
 
 from tributary.functions.values import DAY_FIRST_LIKE
 
@@ -14,47 +11,46 @@ MICROS_FROM = 31_536_000_000_000
 NANOS_FROM = 31_536_000_000_000_000
 FIRST_SECOND = -62_135_596_800
 
-_DIGITS = r"^-?\d+$"
+
+def _all_digits(text: str) -> str:
+    return f"{text} RLIKE '^-?[0-9]+$'"
 
 
-def _epoch_timestamp(text: Column) -> Column:
-    number = text.try_cast("decimal(20,0)")
+def _epoch_timestamp(text: str) -> str:
+    number = f"try_cast({text} AS decimal(20,0))"
 
-    def seconds_per(unit: int) -> Column:
-        return (number / F.lit(unit)).try_cast("decimal(18,6)")
+    def seconds_per(unit: int) -> str:
+        return f"try_cast({number} / {unit} AS decimal(18,6))"
 
     seconds = (
-        F.when(number < MILLIS_FROM, seconds_per(1))
-        .when(number < MICROS_FROM, seconds_per(1_000))
-        .when(number < NANOS_FROM, seconds_per(1_000_000))
-        .otherwise(seconds_per(1_000_000_000))
+        f"CASE WHEN {number} < {MILLIS_FROM} THEN {seconds_per(1)}"
+        f" WHEN {number} < {MICROS_FROM} THEN {seconds_per(1_000)}"
+        f" WHEN {number} < {NANOS_FROM} THEN {seconds_per(1_000_000)}"
+        f" ELSE {seconds_per(1_000_000_000)} END"
     )
-    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    shifted = start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
-    return F.when(seconds.between(FIRST_SECOND, MILLIS_FROM), shifted)
+    shifted = f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds})"
+    return f"CASE WHEN {seconds} BETWEEN {FIRST_SECOND} AND {MILLIS_FROM} THEN {shifted} END"
 
 
-def lenient_timestamp(text: Column) -> Column:
+def lenient_timestamp(text: str) -> str:
     """Wall-clock timestamp; a zone suffix is read and ignored."""
-    extra = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in TIMESTAMP_FORMATS]
-    return F.when(text.rlike(_DIGITS), _epoch_timestamp(text)).otherwise(
-        F.coalesce(text.try_cast("timestamp_ntz"), *extra)
-    )
+    tries = [f"try_cast({text} AS timestamp_ntz)"]
+    tries += [f"CAST(try_to_timestamp({text}, '{f}') AS timestamp_ntz)" for f in TIMESTAMP_FORMATS]
+    return f"CASE WHEN {_all_digits(text)} THEN {_epoch_timestamp(text)} ELSE coalesce({', '.join(tries)}) END"
 
 
-def lenient_date(text: Column) -> Column:
-    extra = [F.try_to_date(text, f) for f in DATE_FORMATS]
-    return F.when(text.rlike(_DIGITS), _epoch_timestamp(text).cast("date")).otherwise(
-        F.coalesce(F.try_to_date(text), *extra)
-    )
+def lenient_date(text: str) -> str:
+    tries = [f"try_to_date({text})"] + [f"try_to_date({text}, '{f}')" for f in DATE_FORMATS]
+    epoch = f"CAST({_epoch_timestamp(text)} AS date)"
+    return f"CASE WHEN {_all_digits(text)} THEN {epoch} ELSE coalesce({', '.join(tries)}) END"
 
 
-def is_day_first(text: Column) -> Column:
+def is_day_first(text: str) -> str:
     """Shaped like DD-MM-YYYY; says nothing about whether it is a real day."""
-    return text.like(DAY_FIRST_LIKE)
+    return f"{text} LIKE '{DAY_FIRST_LIKE}'"
 
 
-def order_timestamp(text: Column) -> Column:
+def order_timestamp(text: str) -> str:
     """Order date: day-first text becomes midnight of that day, the rest is read leniently."""
-    day_first = F.try_to_date(text, "dd-MM-yyyy").cast("timestamp_ntz")
-    return F.when(is_day_first(text), day_first).otherwise(lenient_timestamp(text))
+    day = f"CAST(try_to_date({text}, 'dd-MM-yyyy') AS timestamp_ntz)"
+    return f"CASE WHEN {is_day_first(text)} THEN {day} ELSE {lenient_timestamp(text)} END"

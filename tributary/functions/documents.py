@@ -2,8 +2,7 @@
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tributary.functions.dates import is_day_first, order_timestamp
 from tributary.functions.text import clean
@@ -52,23 +51,22 @@ FIELDS = (
 NUMERIC = tuple(f for f in FIELDS if f.type != "string")
 
 
-def typed_columns(document: Column) -> dict[str, Column]:
+def typed_columns(document: str) -> list[str]:
     """One column per field; a numeric field also keeps its text as ``<name>_text``.
 
     A missing parent or another shape gives NULL. ``inventory_given`` tells an
     explicit JSON null (true) from an absent field (false).
     """
-    columns = {}
+    columns = []
     for field in FIELDS:
+        text = f"variant_get({document}, '{field.path}', 'string')"
         if field.type == "string":
-            columns[field.name] = F.variant_get(document, field.path, "string")
+            columns.append(f"{text} AS {field.name}")
         else:
-            columns[field.name] = F.try_variant_get(document, field.path, field.type)
-            columns[f"{field.name}_text"] = F.variant_get(document, field.path, "string")
-    columns["inventory_given"] = F.variant_get(
-        document, "$.warehouse.inventory_level", "variant"
-    ).isNotNull()
-    return columns
+            number = f"try_variant_get({document}, '{field.path}', '{field.type}')"
+            columns += [f"{number} AS {field.name}", f"{text} AS {field.name}_text"]
+    level = f"variant_get({document}, '$.warehouse.inventory_level', 'variant')"
+    return [*columns, f"{level} IS NOT NULL AS inventory_given"]
 
 
 def with_typed_fields(raw_orders: DataFrame) -> DataFrame:
@@ -76,14 +74,17 @@ def with_typed_fields(raw_orders: DataFrame) -> DataFrame:
 
     Each is read once here; rules and projection refer to the columns.
     """
-    date = F.col("order_date_text")
-    return raw_orders.withColumns(typed_columns(F.col("raw_data"))).withColumns({
-        "day_first": is_day_first(date),
-        "order_timestamp": order_timestamp(date),
-        "order_status": clean(F.col("order_status")),
-    })
-
-
-def uncastable(field: Field) -> Column:
+    typed = raw_orders.selectExpr("*", *typed_columns("raw_data"))
+    others = [c for c in typed.columns if c != "order_status"]
+    date = "order_date_text"
+    return typed.selectExpr(
+        *others,
+        f"{clean('order_status')} AS order_status",
+        f"{is_day_first(date)} AS day_first",
+        f"{order_timestamp(date)} AS order_timestamp",
+    )
+
+
+def uncastable(field: Field) -> str:
     """The document holds something here, but it is not a number."""
-    return F.col(f"{field.name}_text").isNotNull() & F.col(field.name).isNull()
+    return f"({field.name}_text IS NOT NULL AND {field.name} IS NULL)"

@@ -1,16 +1,13 @@
-"""Text clean-up shared by keys and descriptive columns."""
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+"""Text clean-up shared by keys and descriptive columns, as SQL expressions."""
 
 from tributary.functions.values import UNKNOWN
 
 
-def clean(text: Column) -> Column:
+def clean(text: str) -> str:
     """Upper case without surrounding blanks; NULL stays NULL."""
-    return F.upper(F.trim(text))
+    return f"upper(trim({text}))"
 
 
-def clean_or_unknown(text: Column) -> Column:
+def clean_or_unknown(text: str) -> str:
     """As ``clean``, with NULL (but not the empty string) shown as UNKNOWN."""
-    return F.coalesce(clean(text), F.lit(UNKNOWN))
+    return f"coalesce({clean(text)}, '{UNKNOWN}')"

@@ -3,14 +3,14 @@
 Rejecting and accepting are two separate three-valued conditions. A document for
 which both are NULL (say, without an order date) is neither accepted nor
 rejected: it is *unrouted*. Never derive one condition by negating the other.
+
+Conditions are SQL expressions over the typed fields of a document.
 """
 
-from functools import reduce
 from itertools import takewhile
-from operator import and_, or_
 from typing import Literal, NamedTuple, get_args
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions import values as V
@@ -23,156 +23,119 @@ ACCEPTED, REJECTED, UNROUTED = "accepted", "rejected", "unrouted"
 
 class Rule(NamedTuple):
     name: str
-    rejects: Column
-    accepts: Column
-    reason_when: Column | None = None
-    reason: Column | None = None
-
-
-def _required(name: str, message: str) -> Rule:
-    missing = F.col(name).isNull()
-    return Rule(name, missing, F.col(name).isNotNull(), missing, F.lit(message))
-
-
-def rules() -> list[Rule]:
-    """All rules over the typed fields, in the order in which reasons are tried."""
-    # Day-first text passes by its shape alone, whether or not it is a real day.
-    timestamp, day_first = F.col("order_timestamp"), F.col("day_first")
-    bad_date = timestamp.isNull() & ~day_first
-    known_status = F.col("order_status").isin(*V.ORDER_STATUSES)
-    score, other_score = F.col("performance_score"), F.col("supplier_performance_score")
-    score_reason = F.concat(F.lit(V.BAD_PERFORMANCE_SCORE), F.col("performance_score_text"))
-    lead_time, quantity = F.col("lead_time_days"), F.col("quantity")
-    price, total = F.col("unit_price"), F.col("total_amount")
-    inventory = F.col("inventory_level")
-    no_price, no_total = price.isNull() | (price < 0), total.isNull() | (total < 0)
-    return [
-        _required("order_id", V.MISSING_ORDER_ID),
-        Rule(
-            "order_date",
-            bad_date,
-            timestamp.isNotNull() | day_first,
-            bad_date,
-            F.lit(V.BAD_DATE),
-        ),
-        Rule("order_status", ~known_status, known_status, ~known_status, F.lit(V.BAD_STATUS)),
-        _required("customer_id", V.MISSING_CUSTOMER_ID),
-        _required("supplier_id", V.MISSING_SUPPLIER_ID),
-        # The reason looks at supplier_performance_score, the decision at performance_score.
-        Rule("score_above", score > 100, score <= 100, other_score > 100, score_reason),
-        Rule("score_below", score < 0, score >= 0, other_score < 0, score_reason),
-        Rule(
-            "lead_time_days",
-            lead_time < 0,
-            (lead_time >= 0) | lead_time.isNull(),
-            lead_time < 0,
-            F.concat(F.lit(V.BAD_LEAD_TIME), F.col("lead_time_days_text")),
-        ),
-        _required("product_id", V.MISSING_PRODUCT_ID),
-        Rule("quantity_missing", quantity.isNull(), quantity.isNotNull()),
-        Rule(
-            "quantity",
-            quantity <= 0,
-            quantity > 0,
-            quantity <= 0,
-            F.concat(F.lit(V.BAD_QUANTITY), F.col("quantity_text")),
-        ),
-        Rule(
-            "unit_price",
-            no_price,
-            price.isNotNull() & (price >= 0),
-            no_price,
-            F.concat(
-                F.lit(V.BAD_UNIT_PRICE),
-                F.coalesce(F.col("unit_price_text"), F.lit(V.NO_PRICE_TEXT)),
-            ),
-        ),
-        Rule(
-            "total_amount",
-            no_total,
-            total.isNotNull() & (total >= 0),
-            no_total,
-            F.concat(
-                F.lit(V.BAD_TOTAL_AMOUNT),
-                F.coalesce(F.col("total_amount_text"), F.lit(V.NO_TOTAL_TEXT)),
-            ),
-        ),
-        # A JSON null level is neither below zero nor absent.
-        Rule(
-            "inventory_level",
-            inventory < 0,
-            (inventory >= 0) | ~F.col("inventory_given"),
-            inventory < 0,
-            F.concat(F.lit(V.BAD_INVENTORY), F.col("inventory_level_text")),
-        ),
-    ]
+    rejects: str
+    accepts: str
+    reason_when: str | None = None
+    reason: str | None = None
 
 
-def rejected() -> Column:
-    return reduce(or_, (r.rejects for r in rules()))
+def _required(field: str, message: str) -> Rule:
+    missing = f"{field} IS NULL"
+    return Rule(field, missing, f"{field} IS NOT NULL", missing, f"'{message}'")
 
 
-def accepted() -> Column:
-    return reduce(and_, (r.accepts for r in rules()))
+def _not_negative(field: str, message: str, no_text: str) -> Rule:
+    bad = f"{field} IS NULL OR {field} < 0"
+    reason = f"'{message}' || coalesce({field}_text, '{no_text}')"
+    return Rule(field, bad, f"{field} IS NOT NULL AND {field} >= 0", bad, reason)
 
 
-def _first_match(pairs: list[tuple[Column, Column]], otherwise: Column) -> Column:
-    (condition, value), *rest = pairs
-    chain = F.when(condition, value)
-    for condition, value in rest:
-        chain = chain.when(condition, value)
-    return chain.otherwise(otherwise)
+_LISTED = "order_status IN ({})".format(", ".join(f"'{s}'" for s in V.ORDER_STATUSES))
+_BAD_DATE = "order_timestamp IS NULL AND NOT day_first"
+_SCORE_REASON = f"'{V.BAD_PERFORMANCE_SCORE}' || performance_score_text"
 
-
-def error_reason() -> Column:
+# In the order in which reasons are tried.
+RULES = (
+    _required("order_id", V.MISSING_ORDER_ID),
+    # Day-first text passes by its shape alone, whether or not it is a real day.
+    Rule(
+        "order_date", _BAD_DATE, "order_timestamp IS NOT NULL OR day_first", _BAD_DATE, f"'{V.BAD_DATE}'"
+    ),
+    Rule("order_status", f"NOT {_LISTED}", _LISTED, f"NOT {_LISTED}", f"'{V.BAD_STATUS}'"),
+    _required("customer_id", V.MISSING_CUSTOMER_ID),
+    _required("supplier_id", V.MISSING_SUPPLIER_ID),
+    # The reason looks at supplier_performance_score, the decision at performance_score.
+    Rule(
+        "performance_score",
+        "performance_score > 100 OR performance_score < 0",
+        "performance_score BETWEEN 0 AND 100",
+        "supplier_performance_score > 100 OR supplier_performance_score < 0",
+        _SCORE_REASON,
+    ),
+    Rule(
+        "lead_time_days",
+        "lead_time_days < 0",
+        "lead_time_days >= 0 OR lead_time_days IS NULL",
+        "lead_time_days < 0",
+        f"'{V.BAD_LEAD_TIME}' || lead_time_days_text",
+    ),
+    _required("product_id", V.MISSING_PRODUCT_ID),
+    Rule("quantity_missing", "quantity IS NULL", "quantity IS NOT NULL"),
+    Rule("quantity", "quantity <= 0", "quantity > 0", "quantity <= 0", f"'{V.BAD_QUANTITY}' || quantity_text"),
+    _not_negative("unit_price", V.BAD_UNIT_PRICE, V.NO_PRICE_TEXT),
+    _not_negative("total_amount", V.BAD_TOTAL_AMOUNT, V.NO_TOTAL_TEXT),
+    # A JSON null level is neither below zero nor absent.
+    Rule(
+        "inventory_level",
+        "inventory_level < 0",
+        "inventory_level >= 0 OR NOT inventory_given",
+        "inventory_level < 0",
+        f"'{V.BAD_INVENTORY}' || inventory_level_text",
+    ),
+)
+
+# Why a document was neither accepted nor rejected, in tolerant mode.
+GAPS = (
+    ("order_date_text IS NULL", "'missing order date'"),
+    ("order_status IS NULL", "'missing order status'"),
+    ("performance_score IS NULL", "'missing performance score'"),
+    ("true", "'null inventory level'"),
+)
+
+
+def rejected() -> str:
+    return " OR ".join(f"({rule.rejects})" for rule in RULES)
+
+
+def accepted() -> str:
+    return " AND ".join(f"({rule.accepts})" for rule in RULES)
+
+
+def _first_match(pairs, otherwise: str = "NULL") -> str:
+    branches = " ".join(f"WHEN {condition} THEN {value}" for condition, value in pairs)
+    return f"CASE {branches} ELSE {otherwise} END"
+
+
+def error_reason() -> str:
     """Text of the first rule that explains the rejection; may be NULL."""
-    return _first_match(
-        [(r.reason_when, r.reason) for r in rules() if r.reason_when is not None],
-        F.lit(V.UNKNOWN_REASON),
-    )
+    explained = ((rule.reason_when, rule.reason) for rule in RULES if rule.reason_when)
+    return _first_match(explained, f"'{V.UNKNOWN_REASON}'")
 
 
-def cast_error() -> Column:
+def cast_error() -> str:
     """Which value a strict cast cannot read, or NULL; needs ``rejected`` and ``accepted``.
 
     The order date and ``delay_days`` are cast for accepted documents only, and
     ``supplier_performance_score`` only where the reason gets that far.
     """
-
-    def message(name: str) -> Column:
-        return F.concat(F.lit(f"not a number: {name} "), F.col(f"{name}_text"))
-
-    earlier = takewhile(lambda rule: rule.name != "score_above", rules())
-    explained = reduce(or_, (F.coalesce(rule.reason_when, F.lit(False)) for rule in earlier))
-    when = {
-        "supplier_performance_score": F.col("rejected") & ~explained,
-        "delay_days": F.col("accepted"),
+    earlier = takewhile(lambda rule: rule.name != "performance_score", RULES)
+    explained = " OR ".join(f"coalesce({rule.reason_when}, false)" for rule in earlier)
+    only_if = {
+        "supplier_performance_score": f"rejected AND NOT ({explained})",
+        "delay_days": "accepted",
     }
     pairs = [
-        (uncastable(f) & when.get(f.name, F.lit(True)), message(f.name)) for f in NUMERIC
+        (
+            f"{uncastable(f)} AND {only_if.get(f.name, 'true')}",
+            f"'not a number: {f.name} ' || {f.name}_text",
+        )
+        for f in NUMERIC
     ]
     pairs.append((
-        F.col("accepted") & F.col("day_first") & F.col("order_timestamp").isNull(),
-        F.concat(F.lit("not a date: order_date "), F.col("order_date_text")),
+        "accepted AND day_first AND order_timestamp IS NULL",
+        "'not a date: order_date ' || order_date_text",
     ))
-    return _first_match(pairs, F.lit(None).cast("string"))
-
-
-def route_counts(classified: DataFrame) -> DataFrame:
-    """Row accounting: every input document has exactly one route."""
-    return classified.groupBy("route").agg(F.count("*").alias("documents"))
-
-
-def _gap_reason() -> Column:
-    """Why a document was neither accepted nor rejected."""
-    return _first_match(
-        [
-            (F.col("order_date_text").isNull(), F.lit("missing order date")),
-            (F.col("order_status").isNull(), F.lit("missing order status")),
-            (F.col("performance_score").isNull(), F.lit("missing performance score")),
-        ],
-        F.lit("null inventory level"),
-    )
+    return _first_match(pairs)
 
 
 def classify(raw_orders: DataFrame, mode: Mode = "reference") -> DataFrame:
@@ -184,23 +147,32 @@ def classify(raw_orders: DataFrame, mode: Mode = "reference") -> DataFrame:
     """
     if mode not in get_args(Mode):
         raise ValueError(f"unknown mode: {mode}")
-    internal = ("rejected", "accepted", "cast_error")
-    tested = (
-        with_typed_fields(raw_orders)
-        .withColumns({"rejected": rejected(), "accepted": accepted()})
-        .withColumn("cast_error", cast_error())
-    )
-    bad_cast, is_rejected, is_accepted = F.col("cast_error"), F.col("rejected"), F.col("accepted")
-    reason = F.when(is_rejected, error_reason())
     if mode == "reference":
-        route = F.when(bad_cast.isNotNull(), F.raise_error(bad_cast).cast("string"))
-        route = route.when(is_rejected, REJECTED).when(is_accepted, ACCEPTED).otherwise(UNROUTED)
+        route = (
+            "CASE WHEN cast_error IS NOT NULL THEN CAST(raise_error(cast_error) AS string)"
+            f" WHEN rejected THEN '{REJECTED}' WHEN accepted THEN '{ACCEPTED}' ELSE '{UNROUTED}' END"
+        )
+        reason = f"CASE WHEN rejected THEN {error_reason()} END"
     else:
-        route = F.when(is_accepted & bad_cast.isNull(), ACCEPTED).otherwise(REJECTED)
-        gap = F.when(is_rejected.isNull() & is_accepted.isNull(), _gap_reason())
-        reason = F.coalesce(bad_cast, F.when(is_rejected, reason).otherwise(gap))
-    routed = tested.withColumns({"route": route, "error_reason": reason})
+        route = f"CASE WHEN accepted AND cast_error IS NULL THEN '{ACCEPTED}' ELSE '{REJECTED}' END"
+        reason = _first_match([
+            ("cast_error IS NOT NULL", "cast_error"),
+            ("rejected", error_reason()),
+            ("NOT accepted OR accepted IS NULL", _first_match(GAPS)),
+        ])
+    typed = with_typed_fields(raw_orders)
+    fields = [c for c in typed.columns if c not in raw_orders.columns]
+    routed = (
+        typed.selectExpr("*", f"{rejected()} AS rejected", f"{accepted()} AS accepted")
+        .selectExpr("*", f"{cast_error()} AS cast_error")
+        .selectExpr(*typed.columns, f"{route} AS route", f"{reason} AS error_reason")
+    )
     # A filter on ``route`` would be rewritten into all rules over the raw document
     # and read every field again, several times. It cannot pass a generator.
-    results = [c for c in routed.columns if c not in (*raw_orders.columns, *internal)]
-    return routed.select(*raw_orders.columns, F.inline(F.array(F.struct(*results))))
+    result = ", ".join([*fields, "route", "error_reason"])
+    return routed.selectExpr(*raw_orders.columns, f"inline(array(struct({result})))")
+
+
+def route_counts(classified: DataFrame) -> DataFrame:
+    """Row accounting: every input document has exactly one route."""
+    return classified.groupBy("route").agg(F.count("*").alias("documents"))

@@ -6,63 +6,102 @@ documents hold the first and the last line of an order. Both are plain
 aggregates, so an order with any number of lines never gathers in one place.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-
-
-def _unless(condition: Column, value: Column, other=None) -> Column:
-    return F.when(condition, F.lit(other)).otherwise(value)
-
+ORDERS_PER_FILE = 1000
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.struct(
-        "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("bigint").alias("quantity"),
-        "l_shipdate",
+# Columns read of each table; a given schema saves a look into the files.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_shipdate timestamp_ntz",
+}
+
+
+def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their first and last line, part, customer and supplier."""
+    t = {n: spark.read.schema(ddl).parquet(f"{sf_dir}/{n}.parquet") for n, ddl in TABLES.items()}
+    line = "struct(l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS bigint) AS quantity, l_shipdate)"
+    lines = t["lineitem"].groupBy("l_orderkey").agg(
+        F.expr(f"min({line})").alias("first"), F.expr(f"max({line})").alias("last")
     )
+    regions = t["nation"].join(t["region"], F.expr("n_regionkey = r_regionkey"))
+    customers = t["customer"].join(regions, F.expr("c_nationkey = n_nationkey"), "left")
+    countries = t["nation"].selectExpr("n_nationkey AS s_nation", "n_name AS s_country")
+    suppliers = t["supplier"].join(countries, F.expr("s_nationkey = s_nation"), "left")
+    supplier_count = t["supplier"].select(F.count("*")).scalar()
+    orders = t["orders"].withColumns({"k": F.expr("o_orderkey % 101"), "suppliers": supplier_count})
     return (
-        spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-        .groupBy("l_orderkey")
-        .agg(F.min(line).alias("first"), F.max(line).alias("last"))
+        orders.join(lines, F.expr("o_orderkey = l_orderkey"), "left")
+        .join(t["part"], F.expr("first.l_partkey = p_partkey"), "left")
+        .join(customers.drop("n_name"), F.expr("o_custkey = c_custkey"), "left")
+        .join(suppliers, F.expr("o_orderkey % suppliers = s_suppkey"), "left")
     )
 
 
-def _orders_with_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _defect(value: str, **by_k) -> str:
+    """``value``, but for the given ``k`` another one: ``k2="'garbage'"``."""
+    branches = " ".join(f"WHEN {k[1:]} THEN {other}" for k, other in by_k.items())
+    return f"CASE k {branches} ELSE {value} END"
 
-    nations = table("nation").join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    customers = table("customer").join(
-        nations.select("n_nationkey", "r_name"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    )
-    suppliers = table("supplier").join(
-        table("nation").select(F.col("n_nationkey").alias("s_nation"), F.col("n_name").alias("s_country")),
-        F.col("s_nationkey") == F.col("s_nation"),
-        "left",
-    )
-    supplier_count = table("supplier").select(F.count("*")).scalar()
-    return (
-        table("orders")
-        .withColumn("o_suppkey", F.col("o_orderkey") % supplier_count)
-        .join(_lines(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .join(
-            table("part").select("p_partkey", "p_name", "p_type", "p_retailprice", "p_size"),
-            F.col("first.l_partkey") == F.col("p_partkey"),
-            "left",
-        )
-        .join(
-            customers.select("c_custkey", "c_name", "r_name", "c_mktsegment"),
-            F.col("o_custkey") == F.col("c_custkey"),
-            "left",
-        )
-        .join(
-            suppliers.select("s_suppkey", "s_name", "s_country"),
-            F.col("o_suppkey") == F.col("s_suppkey"),
-            "left",
-        )
-    )
+
+def _document(revision: int) -> str:
+    """The document as a struct; all its text and numbers read alike on other engines."""
+    iso = "yyyy-MM-dd\\'T\\'HH:mm:ss\\'Z\\'"
+    day_first = "date_format(o_orderdate, 'dd-MM-yyyy')"
+    date = f"CASE WHEN o_orderkey % 5 = 0 THEN {day_first} ELSE date_format(o_orderdate, '{iso}') END"
+    status = "CASE o_orderstatus WHEN 'O' THEN ' pending' WHEN 'F' THEN 'Delivered' WHEN 'P' THEN 'in transit ' END"
+    status = _defect(status, k3="'lost'", k18="NULL")
+    carrier = "CASE o_orderkey % 4 WHEN 1 THEN 'dhl' WHEN 2 THEN ' UPS' WHEN 3 THEN 'FedEx ' END"
+    total = _defect("o_totalprice", k14="NULL", k15="-5.25D")
+    name = _defect("c_name", k22="NULL")
+    if revision == 2:
+        status, carrier, total = "'shipped'", "'rail'", f"{total} + 1"
+    if revision == 3:
+        name = "CAST(NULL AS string)"
+    parent = "CASE WHEN o_orderkey % 2 = 0 THEN ' ord-' ELSE 'Ord-' END || o_orderkey"
+    first_item = f"""named_struct(
+        'product_id', 'prd-' || first.l_partkey, 'product_name', p_name, 'category', p_type,
+        'quantity', {_defect("first.quantity", k10="NULL", k11="0L")},
+        'unit_price', {_defect("p_retailprice", k12="NULL", k13="-1.5D")})"""
+    last_item = """named_struct(
+        'product_id', 'prd-' || last.l_partkey, 'product_name', CAST(NULL AS string),
+        'category', CAST(NULL AS string), 'quantity', last.quantity, 'unit_price', CAST(NULL AS double))"""
+    return f"""named_struct(
+      'order_id', {_defect(parent, k1="NULL")},
+      'order_date', {_defect(date, k2="'garbage'", k17="NULL")},
+      'order_status', {status},
+      'customer', named_struct(
+        'customer_id', {_defect("'cust-' || c_custkey", k4="NULL")},
+        'customer_name', {name}, 'region', r_name, 'segment', c_mktsegment),
+      'supplier', named_struct(
+        'supplier_id', {_defect("'sup-' || s_suppkey", k5="NULL")},
+        'supplier_name', s_name, 'country', s_country,
+        'lead_time_days', {_defect("s_suppkey % 30", k9="-1", k23="NULL")},
+        'performance_score', {_defect("s_suppkey % 101", k6="101", k7="-1", k8="101", k19="NULL")},
+        'supplier_performance_score', CASE WHEN k = 8 THEN 120 END),
+      'shipment', named_struct(
+        'shipment_id', 'shp-' || o_orderkey, 'carrier', {carrier},
+        'ship_date', date_format(first.l_shipdate, '{iso}'),
+        'estimated_delivery', date_format(date_add(to_date(o_orderdate), 10), 'yyyy-MM-dd'),
+        'delay_days', datediff(to_date(first.l_shipdate), to_date(o_orderdate)) - 30),
+      'items', CASE WHEN first IS NULL THEN filter(array({first_item}), item -> false)
+        WHEN first = last THEN array({first_item}) ELSE array({first_item}, {last_item}) END,
+      'financials', named_struct(
+        'total_amount', {total},
+        'payment_status', CASE o_orderkey % 3 WHEN 0 THEN 'paid' WHEN 1 THEN 'Due' END),
+      'warehouse', named_struct(
+        'warehouse_id', 'wh-' || (o_orderkey % 7),
+        'warehouse_location', CASE WHEN o_orderkey % 2 = 0 THEN 'Hall a' END,
+        'inventory_level', {_defect("p_size", k16="-1", k20="NULL", k21="NULL")}))"""
 
 
 def order_documents(spark: SparkSession, sf_dir: str, revision: int = 1) -> DataFrame:
@@ -71,117 +110,30 @@ def order_documents(spark: SparkSession, sf_dir: str, revision: int = 1) -> Data
     Revision 2 is a later document of the same order (shipped by rail, amount
     raised by one), revision 3 one without a customer name.
     """
-    key = F.col("o_orderkey")
-    k = key % 101
-    first = F.col("first")
-    even = key % 2 == 0
-    status = (
-        F.when(F.col("o_orderstatus") == "O", " pending")
-        .when(F.col("o_orderstatus") == "F", "Delivered")
-        .when(F.col("o_orderstatus") == "P", "in transit ")
-    )
-    status = _unless(k == 18, _unless(k == 3, status, "lost"))
-    carrier = F.when(key % 4 == 1, "dhl").when(key % 4 == 2, " UPS").when(key % 4 == 3, "FedEx ")
-    total = _unless(k == 15, _unless(k == 14, F.col("o_totalprice")), -5.25)
-    name = _unless(k == 22, F.col("c_name"))
-    if revision == 2:
-        status, carrier, total = F.lit("shipped"), F.lit("rail"), total + 1
-    if revision == 3:
-        name = F.lit(None).cast("string")
-    day_first = key % 5 == 0
-    date = F.when(day_first, F.date_format("o_orderdate", "dd-MM-yyyy")).otherwise(
-        F.date_format("o_orderdate", ISO_SECONDS)
-    )
-    date = _unless(k == 17, _unless(k == 2, date, "garbage"))
-    supplier = F.col("s_suppkey")
-    score = _unless(k.isin(6, 8), _unless(k == 7, supplier % 101, -1), 101)
-    ship_date = F.col("first.l_shipdate")
-    first_item = F.struct(
-        F.concat(F.lit("prd-"), F.col("first.l_partkey")).alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        _unless(k == 11, _unless(k == 10, F.col("first.quantity")), 0).alias("quantity"),
-        _unless(k == 13, _unless(k == 12, F.col("p_retailprice")), -1.5).alias("unit_price"),
-    )
-    last_item = F.struct(
-        F.concat(F.lit("prd-"), F.col("last.l_partkey")).alias("product_id"),
-        F.lit(None).cast("string").alias("product_name"),
-        F.lit(None).cast("string").alias("category"),
-        F.col("last.quantity").alias("quantity"),
-        F.lit(None).cast("double").alias("unit_price"),
-    )
-    items = (
-        F.when(first.isNull(), F.array().cast(
-            "array<struct<product_id:string,product_name:string,category:string,"
-            "quantity:bigint,unit_price:double>>"
-        ))
-        .when(first == F.col("last"), F.array(first_item))
-        .otherwise(F.array(first_item, last_item))
-    )
-    document = F.struct(
-        _unless(
-            k == 1, F.concat(F.when(even, " ord-").otherwise("Ord-"), key.cast("string"))
-        ).alias("order_id"),
-        date.alias("order_date"),
-        status.alias("order_status"),
-        F.struct(
-            _unless(k == 4, F.concat(F.lit("cust-"), F.col("c_custkey"))).alias("customer_id"),
-            name.alias("customer_name"),
-            F.col("r_name").alias("region"),
-            F.col("c_mktsegment").alias("segment"),
-        ).alias("customer"),
-        F.struct(
-            _unless(k == 5, F.concat(F.lit("sup-"), supplier)).alias("supplier_id"),
-            F.col("s_name").alias("supplier_name"),
-            F.col("s_country").alias("country"),
-            _unless(k == 23, _unless(k == 9, supplier % 30, -1)).alias("lead_time_days"),
-            _unless(k == 19, score).alias("performance_score"),
-            F.when(k == 8, 120).alias("supplier_performance_score"),
-        ).alias("supplier"),
-        F.struct(
-            F.concat(F.lit("shp-"), key.cast("string")).alias("shipment_id"),
-            carrier.alias("carrier"),
-            F.date_format(ship_date, ISO_SECONDS).alias("ship_date"),
-            F.date_format(F.date_add(F.to_date("o_orderdate"), 10), "yyyy-MM-dd").alias("estimated_delivery"),
-            (F.datediff(F.to_date(ship_date), F.to_date("o_orderdate")) - 30).alias("delay_days"),
-        ).alias("shipment"),
-        items.alias("items"),
-        F.struct(
-            total.alias("total_amount"),
-            F.when(key % 3 == 0, "paid").when(key % 3 == 1, "Due").alias("payment_status"),
-        ).alias("financials"),
-        F.struct(
-            F.concat(F.lit("wh-"), (key % 7).cast("string")).alias("warehouse_id"),
-            F.when(even, "Hall a").alias("warehouse_location"),
-            _unless(k.isin(20, 21), _unless(k == 16, F.col("p_size"), -1)).alias("inventory_level"),
-        ).alias("warehouse"),
-    )
-    text = F.to_json(document, {"ignoreNullFields": "false"})
+    text = f"to_json({_document(revision)}, map('ignoreNullFields', 'false'))"
     # An absent level and a JSON null are told apart by the rules, so one defect removes the key.
-    text = F.when(k == 21, F.replace(text, F.lit(',"inventory_level":null'), F.lit(""))).otherwise(text)
-    return _orders_with_parties(spark, sf_dir).select("o_orderkey", text.alias("document"))
-
-
-ORDERS_PER_FILE = 1000
+    without_level = """replace(document, ',"inventory_level":null', '')"""
+    return (
+        _joined(spark, sf_dir)
+        .selectExpr("o_orderkey", "k", f"{text} AS document")
+        .selectExpr("o_orderkey", f"CASE WHEN k = 21 THEN {without_level} ELSE document END AS document")
+    )
 
 
 def in_batch(documents: DataFrame, revision: int) -> DataFrame:
     """The orders of one merge batch; each order is in it once."""
-    third = F.col("o_orderkey") % 3
-    return documents.where({1: third < 2, 2: third > 0, 3: third == 1}[revision])
+    return documents.where({1: "o_orderkey % 3 < 2", 2: "o_orderkey % 3 > 0", 3: "o_orderkey % 3 = 1"}[revision])
 
 
 def raw_orders(spark: SparkSession, sf_dir: str, revision: int = 1) -> DataFrame:
     """The documents as bronze rows."""
-    key = F.col("o_orderkey")
-    file_no = F.floor(key / ORDERS_PER_FILE).cast("string")
-    return order_documents(spark, sf_dir, revision).select(
-        key,
-        F.parse_json("document").alias("raw_data"),
-        F.lit("1970-01-01 00:00:00").cast("timestamp_ntz").alias("ingested_at"),
-        F.concat(F.lit(f"r{revision}-"), file_no, F.lit(".json")).alias("file_name"),
-        (key % ORDERS_PER_FILE + 1).cast("decimal(38,0)").alias("file_row_number"),
-        F.lit(f"load-{revision}").alias("load_id"),
+    return order_documents(spark, sf_dir, revision).selectExpr(
+        "o_orderkey",
+        "parse_json(document) AS raw_data",
+        "TIMESTAMP_NTZ'1970-01-01 00:00:00' AS ingested_at",
+        f"'r{revision}-' || (o_orderkey DIV {ORDERS_PER_FILE}) || '.json' AS file_name",
+        f"CAST(o_orderkey % {ORDERS_PER_FILE} + 1 AS decimal(38,0)) AS file_row_number",
+        f"'load-{revision}' AS load_id",
     )
 
 
@@ -191,16 +143,17 @@ def write_files(documents: DataFrame, folder: str, array: bool = True) -> None:
     A file is one array over several lines, or one document per line. Every
     fifth file is cut off after its last document and so malformed.
     """
-    numbered = documents.withColumn("file_no", F.floor(F.col("o_orderkey") / ORDERS_PER_FILE))
+    numbered = documents.withColumn("file_no", F.expr(f"o_orderkey DIV {ORDERS_PER_FILE}"))
     in_file = W.partitionBy("file_no").orderBy("o_orderkey")
-    is_first, is_last = F.lag("o_orderkey").over(in_file).isNull(), F.lead("o_orderkey").over(in_file).isNull()
+    marked = numbered.withColumns({
+        "is_first": F.lag("o_orderkey").over(in_file).isNull(),
+        "is_last": F.lead("o_orderkey").over(in_file).isNull(),
+    })
     start, separator, end = ("[", ",", "]") if array else ("", "", "")
-    broken = F.col("file_no") % 5 == 3
-    line = F.concat(
-        F.when(is_first, start).otherwise(""),
-        F.col("document"),
-        F.when(is_last, F.when(broken, "{").otherwise(end)).otherwise(separator),
+    tail = f"CASE WHEN NOT is_last THEN '{separator}' WHEN file_no % 5 = 3 THEN '{{' ELSE '{end}' END"
+    lines = marked.selectExpr(
+        "file_no", "o_orderkey", f"if(is_first, '{start}', '') || document || {tail} AS value"
     )
-    numbered.select("file_no", "o_orderkey", line.alias("value")).sortWithinPartitions(
-        "file_no", "o_orderkey"
-    ).select("file_no", "value").write.partitionBy("file_no").mode("append").text(folder)
+    lines.sortWithinPartitions("file_no", "o_orderkey").select("file_no", "value").write.partitionBy(
+        "file_no"
+    ).mode("append").text(folder)
