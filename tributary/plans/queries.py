@@ -4,6 +4,8 @@ Clock and random columns are left out and decimals shown as bigint, so that the
 results can be compared.
 """
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from tributary.operators.merge import KEY, fold_scd1, latest_per_key, merge_scd1
 from tributary.operators.normalize import normalize
 from tributary.plans import bronze, silver
 from tributary.schemas import STG_ORDERS
+from tributary.session import configure
 from tributary.sources import order_documents as source
 from tributary.sources.json_files import read_documents
 from tributary.sources.tables import list_files, publish
@@ -252,8 +255,16 @@ def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(silver.stg_orders(spark, layout).withColumn("file_no", _file_no()), *CLOCKS, "file_name")
 
 
+def _configured(query):
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(configure(spark), sf_dir)
+
+    return run
+
+
 QUERIES = {
-    f.__name__: f
+    f.__name__: _configured(f)
     for f in (
         bronze_documents, bronze_lines, bronze_load_history, bronze_pending_files, stage_listing,
         stream_append_only, silver_typed_fields, silver_reject, silver_dead_letter,

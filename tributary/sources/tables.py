@@ -53,6 +53,11 @@ def batch_numbers(spark: SparkSession, table: str) -> list[int]:
     return sorted(int(name.split("=")[1]) for name in names if "=" in name)
 
 
+def remove_batch(spark: SparkSession, table: str, batch: str) -> None:
+    fs, path = _hadoop(spark, f"{table}/{batch}")
+    fs.delete(path, True)
+
+
 def read_batches(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
     """All published batches with their ``batch_id``; empty if there are none."""
     full = T.StructType([*schema, T.StructField("batch_id", T.LongType())])
