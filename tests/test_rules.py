@@ -1,11 +1,13 @@
 import copy
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tributary.operators.normalize import normalize
-from tributary.operators.rules import classify
+from tributary.functions.documents import with_typed_fields
+from tributary.operators.rules import accepted, classify, rejected, route_counts
 
 BASE = {
     "order_id": "ord1",
@@ -199,3 +201,44 @@ def test_normalisation(spark):
     assert second.product_id == "P1"
     assert str(third.order_date) == "2024-01-05 10:00:00"
     assert str(third.ship_date) == "2024-01-05 10:00:00.123000"
+
+
+ODD_VALUES = [None, ABSENT, "", 0, -1, 0.5, 101, "7", "garbage", "05-01-2024", " Shipped ", {}, [], True]
+
+
+def random_documents(seed, count):
+    rng = random.Random(seed)
+    paths = [
+        f"{parent}.{name}" if parent else name
+        for parent, names in (
+            ("", ("order_id", "order_date", "order_status", "customer", "supplier", "items", "warehouse")),
+            ("customer", ("customer_id",)),
+            ("supplier", ("supplier_id", "performance_score", "lead_time_days")),
+            ("items.0", ("product_id", "quantity", "unit_price")),
+            ("financials", ("total_amount",)),
+            ("warehouse", ("inventory_level",)),
+        )
+        for name in names
+    ]
+    docs = []
+    while len(docs) < count:
+        changes = [(path, rng.choice(ODD_VALUES)) for path in rng.sample(paths, rng.randint(0, 2))]
+        try:
+            docs.append(document(*changes))
+        except (TypeError, KeyError, IndexError):
+            continue  # the second change lies under the first
+    return docs
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_every_document_has_one_route(spark, seed):
+    rows = raw(spark, random_documents(seed, 400))
+    both = with_typed_fields(rows).selectExpr(f"{rejected()} AS r", f"{accepted()} AS a")
+    assert both.where("r AND a").count() == 0
+    # Neither condition is true exactly where both are unknown: never false and false.
+    assert both.where("NOT r AND NOT a").count() == 0
+    counts = {r.route: r.documents for r in route_counts(classify(rows, "tolerant")).collect()}
+    assert sum(counts.values()) == 400 and set(counts) == {"accepted", "rejected"}
+    assert counts["accepted"] == both.where("a").count() - classify(rows, "tolerant").where(
+        "route = 'rejected' AND (error_reason LIKE 'not a date%' OR error_reason LIKE 'not a number%')"
+    ).join(with_typed_fields(rows).where(accepted()).select("i"), "i").count()

@@ -1,6 +1,5 @@
 """Where the tables of one environment lie."""
 
-import os
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -56,15 +55,16 @@ class Layout:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder that every executor can reach.
+    """A new folder that every executor can reach, below ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset,
-    as in a local run, is it a folder of this machine.
+    Only a local session may leave that unset; it gets a folder of this machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        return tempfile.mkdtemp(prefix="tributary-")
-    return os.path.join(base, f"tributary-{uuid.uuid4().hex}")
+    if base:
+        return f"{base.rstrip('/')}/tributary-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="tributary-")
 
 
 def register_views(spark: SparkSession, **tables: DataFrame) -> None:

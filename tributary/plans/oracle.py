@@ -295,6 +295,10 @@ SELECT 0::BIGINT AS delivery, file_no, file_row_number, order_id, 'INSERT' AS ac
 FROM loaded1
 UNION ALL
 SELECT 1, file_no, file_row_number, order_id, 'INSERT', false FROM loaded2""",
+        "stream_has_data": f"""
+SELECT phase, phase = 'loaded' AS has_data, CAST(loaded_rows AS BIGINT) AS loaded_rows
+FROM (VALUES ('empty'), ('loaded'), ('stepped')) v(phase),
+  (SELECT count(*) AS loaded_rows FROM orders WHERE {good_file})""",
         "silver_typed_fields": f"""{one}
 SELECT file_name, file_row_number, inventory_given, {typed_columns} FROM typed1""",
         "silver_reject": f"{one} {keyed} FROM typed1 WHERE {REJECTS}",

@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 from tributary.functions.documents import with_typed_fields
 from tributary.layout import Layout, shared_folder
 from tributary.operators import rules
-from tributary.operators.merge import KEY, fold_scd1, latest_per_key, merge_scd1
+from tributary.operators.merge import fold_scd1, latest_per_key, merge_scd1
 from tributary.operators.normalize import normalize
 from tributary.plans import bronze, silver
 from tributary.schemas import STG_ORDERS
 from tributary.session import configure
 from tributary.sources import order_documents as source
 from tributary.sources.json_files import read_documents
-from tributary.sources.tables import list_files, publish
-from tributary.streaming.changes import change_stream
+from tributary.sources.tables import list_files, publish, read_batches
+from tributary.streaming.changes import change_stream, has_data
 from tributary.streaming.ingest import refresh_pipe
 from tributary.streaming.task import call_step
 
@@ -48,11 +48,17 @@ def _classified(spark: SparkSession, sf_dir: str, mode: str = "reference") -> Da
     return rules.classify(_raw(spark, sf_dir), mode)
 
 
-def _batch(spark: SparkSession, sf_dir: str, revision: int) -> DataFrame:
-    """Accepted order rows of one merge batch."""
-    raw = source.in_batch(source.raw_orders(spark, sf_dir, revision), revision).drop("o_orderkey")
-    accepted = normalize(rules.classify(raw).where(F.col("route") == rules.ACCEPTED))
-    return accepted.withColumn("transformed_at", F.lit(MERGED_AT).cast("timestamp_ntz"))
+def _batches(spark: SparkSession, sf_dir: str, *revisions: int) -> list[DataFrame]:
+    """Accepted order rows of some merge batches, written once and read as stored tables."""
+    table = f"{shared_folder(spark)}/order_changes"
+    for revision in revisions:
+        documents = source.raw_orders(spark, sf_dir, revision)
+        raw = source.in_batch(documents, revision).drop("o_orderkey")
+        accepted = normalize(rules.classify(raw).where(F.col("route") == rules.ACCEPTED))
+        merged_at = F.lit(MERGED_AT).cast("timestamp_ntz")
+        publish(accepted.withColumn("transformed_at", merged_at), table, f"batch_id={revision}")
+    stored = read_batches(spark, table, STG_ORDERS)
+    return [stored.where(F.col("batch_id") == revision) for revision in revisions]
 
 
 def _empty_orders(spark: SparkSession) -> DataFrame:
@@ -116,8 +122,8 @@ def stream_append_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     def deliver(batch: DataFrame, batch_id: int) -> None:
         delivered = batch.select(
             F.lit(batch_id).cast("bigint").alias("delivery"),
-            *_numbered(batch).columns[1:2],
             _file_no(),
+            "file_row_number",
             F.variant_get("raw_data", "$.order_id", "string").alias("order_id"),
             "action",
             "is_update",
@@ -134,6 +140,23 @@ def stream_append_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(spark.read.parquet(seen), "batch_id")
 
 
+def stream_has_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the silver step has work, before the load, after it and after the step."""
+    layout, stage = _stage(spark, sf_dir)
+    found = [("empty", has_data(spark, layout))]
+    refresh_pipe(spark, layout, stage)
+    found.append(("loaded", has_data(spark, layout)))
+    call_step(spark, layout)
+    found.append(("stepped", has_data(spark, layout)))
+    loads = bronze.copy_history(spark, layout).agg(F.sum("row_count").alias("loaded_rows"))
+    return loads.selectExpr(
+        "inline(array({})) AS (phase, has_data)".format(
+            ", ".join(f"struct('{phase}', {str(value).lower()})" for phase, value in found)
+        ),
+        "loaded_rows",
+    )
+
+
 # --- silver ------------------------------------------------------------------
 
 
@@ -198,32 +221,31 @@ def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(merge_scd1(_empty_orders(spark), _batch(spark, sf_dir, 1)), *CLOCKS)
+    (first,) = _batches(spark, sf_dir, 1)
+    return _shown(merge_scd1(_empty_orders(spark), first), *CLOCKS)
 
 
 def merge_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(merge_scd1(_batch(spark, sf_dir, 1), _batch(spark, sf_dir, 2)), *CLOCKS)
+    return _shown(merge_scd1(*_batches(spark, sf_dir, 1, 2)), *CLOCKS)
 
 
 def merge_update_small_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = merge_scd1(_batch(spark, sf_dir, 1), _batch(spark, sf_dir, 2), small_source=True)
-    return _shown(merged, *CLOCKS)
+    return _shown(merge_scd1(*_batches(spark, sf_dir, 1, 2), small_source=True), *CLOCKS)
 
 
 def merge_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [_batch(spark, sf_dir, r).withColumn("batch_id", F.lit(r)) for r in (1, 2, 3)]
-    return _shown(fold_scd1(parts[0].unionByName(parts[1]).unionByName(parts[2])), *CLOCKS)
+    first, second, third = _batches(spark, sf_dir, 1, 2, 3)
+    return _shown(fold_scd1(first.unionByName(second).unionByName(third)), *CLOCKS)
 
 
 def merge_duplicate_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch 2 with some of its rows again, later and by air, onto batch 1."""
-    batch = _batch(spark, sf_dir, 2)
-    again = batch.where(F.regexp_extract(KEY, r"(\d+)$", 1).cast("bigint") % 10 == 1).withColumns({
+    first, second = _batches(spark, sf_dir, 1, 2)
+    again = second.where("CAST(regexp_extract(order_id, '([0-9]+)$', 1) AS bigint) % 10 = 1").withColumns({
         "file_row_number": (F.col("file_row_number") + 100_000).cast("decimal(38,0)"),
         "carrier": F.lit("AIR"),
     })
-    source_rows = latest_per_key(batch.unionByName(again))
-    return _shown(merge_scd1(_batch(spark, sf_dir, 1), source_rows), *CLOCKS)
+    return _shown(merge_scd1(first, latest_per_key(second.unionByName(again))), *CLOCKS)
 
 
 # --- end to end --------------------------------------------------------------
@@ -267,7 +289,7 @@ QUERIES = {
     f.__name__: _configured(f)
     for f in (
         bronze_documents, bronze_lines, bronze_load_history, bronze_pending_files, stage_listing,
-        stream_append_only, silver_typed_fields, silver_reject, silver_dead_letter,
+        stream_append_only, stream_has_data, silver_typed_fields, silver_reject, silver_dead_letter,
         silver_reason_counts, silver_accept, silver_unrouted, silver_route_counts, silver_tolerant,
         silver_order_date, silver_orders, merge_insert, merge_update, merge_update_small_source,
         merge_fold, merge_duplicate_latest, silver_step_counts, silver_row_accounting, stored_orders,

@@ -53,9 +53,9 @@ def batch_numbers(spark: SparkSession, table: str) -> list[int]:
     return sorted(int(name.split("=")[1]) for name in names if "=" in name)
 
 
-def remove_batch(spark: SparkSession, table: str, batch: str) -> None:
-    fs, path = _hadoop(spark, f"{table}/{batch}")
-    fs.delete(path, True)
+def remove(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _hadoop(spark, path)
+    fs.delete(hadoop_path, True)
 
 
 def read_batches(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
