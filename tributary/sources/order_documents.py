@@ -39,8 +39,9 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = t["supplier"].join(countries, F.expr("s_nationkey = s_nation"), "left")
     supplier_count = t["supplier"].select(F.count("*")).scalar()
     orders = t["orders"].withColumns({"k": F.expr("o_orderkey % 101"), "suppliers": supplier_count})
+    # Both sides grow with the data, and a shuffle also spreads the orders of a small input.
     return (
-        orders.join(lines, F.expr("o_orderkey = l_orderkey"), "left")
+        orders.join(lines.hint("merge"), F.expr("o_orderkey = l_orderkey"), "left")
         .join(t["part"], F.expr("first.l_partkey = p_partkey"), "left")
         .join(customers.drop("n_name"), F.expr("o_custkey = c_custkey"), "left")
         .join(suppliers, F.expr("o_orderkey % suppliers = s_suppkey"), "left")
