@@ -29,8 +29,8 @@ from tributary.streaming.task import call_step
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
-SINGLE_QUERIES = ("silver_reason_counts", "silver_orders", "merge_update", "merge_fold", "stored_orders")
+RUNS = int(os.environ.get("BENCH_RUNS", "1"))
+SINGLE_QUERIES = ("silver_reason_counts", "silver_orders", "merge_update", "merge_fold")
 
 
 def run(rows: DataFrame) -> None:
