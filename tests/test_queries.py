@@ -10,7 +10,9 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+from tributary.plans.oracle import oracle_sql  # noqa: E402
+from tributary.plans.queries import QUERIES  # noqa: E402
 
 TABLES = "region nation customer supplier part orders lineitem".split()
 
@@ -35,12 +37,12 @@ def duck(sf_dir):
 
 
 def test_every_query_has_its_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(oracle_sql()) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, sf_dir, name):
-    result = queries()[name](spark, sf_dir)
+    result = QUERIES[name](spark, sf_dir)
     cursor = duck.execute(oracle_sql()[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(result.columns) == sorted(columns)
