@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import decontaminate, packing, secret_scan, simhash, spotsigs
+from tributary.llm import decontaminate, language_id, packing, secret_scan, simhash, spotsigs, subword_lm
 from tributary.llm.common import table
 
 
@@ -20,6 +20,14 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.report(table(spark, sf_dir, "documents"))
+
+
+def op5_subword_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword_lm.report(table(spark, sf_dir, "documents"))
+
+
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -32,6 +40,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spotsigs": op1_spotsigs,
     "op2_secret_scan": op2_secret_scan,
     "op3_simhash": op3_simhash,
+    "op4_language_id": op4_language_id,
+    "op5_subword_lm": op5_subword_lm,
     "op6_pack": op6_pack,
     "op10_decontaminate": op10_decontaminate,
 }
