@@ -37,7 +37,7 @@ class Settings:
     longest: int = 3
     centroids: int = 4
     rounds: int = 12
-    slack: float = 0.5  # a text may be this much less similar than the least similar training texts
+    slack: float = 0.3  # a text may be this much less similar than the least similar training texts
     quantile: float = 0.02  # the share of training texts that count as least similar
 
 

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import decontaminate, language_id, packing, secret_scan, simhash, spotsigs, subword_lm
+from tributary.llm import decontaminate, language_id, packing, secret_scan, simhash, spotsigs, substring_dedup, subword_lm
 from tributary.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_subword_lm": op5_subword_lm,
     "op6_pack": op6_pack,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
 
