@@ -1,0 +1,80 @@
+import base64
+import gzip
+import hashlib
+
+import pytest
+
+from tributary.llm import warc
+from tributary.llm.queries import op8_warc
+
+HTML = ('<html><head><title>A &amp;\n b</title></head><body><a href="/x?y=1">é</a><p>one\ntwo</p><script>s</script>'
+        '<a href="http://[bad">z</a></body></html>')
+
+
+def sha1(data):
+    return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+def test_records_are_valid_and_linked():
+    source = warc.response("http://a.example/b\r\nX: y", HTML)
+    headers, block = warc.split(source)
+    assert source.startswith(b"WARC/1.1\r\n") and warc.value(headers, "content-length") == str(len(block))
+    assert warc.value(headers, "WARC-Target-URI") == "http://a.example/b X: y"
+    assert warc.value(headers, "WARC-Block-Digest") == sha1(block)
+    assert warc.value(headers, "WARC-Payload-Digest") == sha1(HTML.encode())
+    (meta, about), (conversion, text) = map(warc.split, warc.derivatives(source))
+    for record in (meta, conversion):
+        for name, of in (("WARC-Refers-To", "WARC-Record-ID"), ("WARC-Refers-To-Payload-Digest", "WARC-Payload-Digest"),
+                         ("WARC-Date", "WARC-Date"), ("WARC-Target-URI", "WARC-Target-URI")):
+            assert warc.value(record, name) == warc.value(headers, of)
+    assert text.decode() == "é\none two\nz" and warc.value(conversion, "WARC-Payload-Digest") == sha1(text)
+    assert warc.value(conversion, "WARC-Concurrent-To") == warc.value(meta, "WARC-Record-ID")
+    found = warc.fields(about)
+    assert warc.value(found, "status") == "HTTP/1.1 200 OK" and warc.value(found, "source-content-type") == "text/html; charset=utf-8"
+    assert warc.value(found, "title") == "A & b" and warc.value(found, "payload-digest-matches") == "true"
+    assert [v for n, v in found if n == "outlink"] == ["http://a.example/x?y=1", "http://[bad"]
+    assert warc.derivatives(warc.derivatives(source)[0]) == [] and warc.derivatives(source) == warc.derivatives(source)
+
+
+def test_other_kinds():
+    block = b"HTTP/1.1 404 Not Found\r\nContent-Type: image/png\r\nX-Long: a\r\n b\r\n\r\n\x89PNG\r\n\r\n\xff"
+    record = warc.build([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:uuid:1>")], block)
+    (only,) = warc.derivatives(record)
+    about = warc.fields(warc.split(only)[1])
+    assert warc.value(about, "source-x-long") == "a b" and warc.value(about, "payload-length") == "9"
+    latin = warc.build([("WARC-Type", "response")], b"HTTP/1.0 200 OK\r\nContent-Type: text/html; charset=latin-1\r\n\r\n<p>\xe9")
+    assert warc.split(warc.derivatives(latin)[1])[1].decode() == "é"
+    for bad in (b"", b"HTTP/1.1 200", record[:-1], b"WARC/1.1\r\nContent-Length: 3"):
+        with pytest.raises(ValueError):
+            warc.split(bad)
+
+
+def test_files_round_trip(spark, tmp_path):
+    pages = [(i, f"http://e.example/{i}", HTML * i + "\r\n\r\nWARC/1.1\r\n") for i in range(30)] + [(None, None, None), (30, "", ""), (30, "", "")]
+    df = spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, record string")
+    both = warc.responses(df)
+    both = both.unionByName(warc.derived(both))
+    expected = sorted(bytes(r["record"]) for r in both.collect())
+    assert len(expected) == 3 * len(pages)
+    for name, compression in (("a", "gzip"), ("b", "none")):
+        warc.write(both, str(tmp_path / name), per_file=7, compression=compression)
+        assert sorted(bytes(r["record"]) for r in warc.read(spark, str(tmp_path / name)).collect()) == expected
+    one, two = expected[:2]
+    members = b"".join(gzip.compress(r + b"\r\n\r\n") for r in (one, two))  # a member per record, as crawlers write
+    assert list(warc.records_in(members)) == [one, two]
+    assert warc.described(both).where("NOT block_intact").count() == 0
+    assert warc.report(df.limit(0)).count() == 0
+
+
+def test_query_against_plain_calls(spark, sf_dir):
+    pages = [(r["page_id"], r["url"], r["html"]) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    got = sorted((r["page_id"], r["type"], r["record_id"], r["refers_to"], r["payload_digest"], r["content_length"], r["record_sha256"])
+                 for r in op8_warc(spark, sf_dir).na.fill("").collect())
+    want = []
+    for i, url, html in pages:
+        source, _ = warc.split(warc.response(url, html))
+        for record in warc.derivatives(warc.response(url, html)):
+            headers, block = warc.split(record)
+            want.append((i, warc.value(headers, "WARC-Type"), warc.value(headers, "WARC-Record-ID"), warc.value(source, "WARC-Record-ID"),
+                         warc.value(headers, "WARC-Payload-Digest") or "", len(block), hashlib.sha256(record).hexdigest()))
+    assert got == sorted(want)

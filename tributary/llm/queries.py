@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import decontaminate, language_id, packing, secret_scan, simhash, spotsigs, substring_dedup, subword_lm
+from tributary.llm import decontaminate, html_extract, language_id, packing, secret_scan, simhash, spotsigs, substring_dedup, subword_lm, warc
 from tributary.llm.common import table
 
 
@@ -32,6 +32,14 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.report(table(spark, sf_dir, "pages"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.report(table(spark, sf_dir, "documents"))
 
@@ -47,6 +55,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_subword_lm": op5_subword_lm,
     "op6_pack": op6_pack,
+    "op7_html_extract": op7_html_extract,
+    "op8_warc": op8_warc,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
