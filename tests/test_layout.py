@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from tributary.layout import Layout, shared_folder
+from tributary.layout import Layout, scratch_path
 
 
 def session(master, folder=None):
@@ -10,13 +10,13 @@ def session(master, folder=None):
     return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
 
-def test_shared_folder_follows_the_cluster():
-    first = shared_folder(session("yarn", "hdfs://host/checkpoints/"))
-    second = shared_folder(session("yarn", "hdfs://host/checkpoints/"))
+def test_scratch_follows_the_cluster():
+    first = scratch_path(session("yarn", "hdfs://host/checkpoints/"))
+    second = scratch_path(session("yarn", "hdfs://host/checkpoints/"))
     assert first.startswith("hdfs://host/checkpoints/tributary-") and first != second
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(session("yarn"))
-    assert "tributary-" in shared_folder(session("local[2]"))
+        scratch_path(session("yarn"))
+    assert "tributary-" in scratch_path(session("local[2]"))
 
 
 def test_environments_do_not_share_tables():

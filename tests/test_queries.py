@@ -55,3 +55,21 @@ def test_entry(spark):
     if not os.path.isdir("/root/testdata/sf0.001"):
         pytest.skip("no test data")
     assert entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("change", ["path", "update"])
+def test_the_sql_notices_a_wrong_field(spark, duck, sf_dir, monkeypatch, change):
+    """The oracle takes no path or update column from the code it checks."""
+    from tributary.functions import documents
+    from tributary.operators import merge
+
+    if change == "path":
+        wrong = tuple(f._replace(path="$.shipment.shipment_id") if f.name == "carrier" else f for f in documents.FIELDS)
+        monkeypatch.setattr(documents, "FIELDS", wrong)
+        name = "silver_orders"
+    else:
+        monkeypatch.setattr(merge, "UPDATED_COLUMNS", tuple(c for c in merge.UPDATED_COLUMNS if c != "carrier"))
+        name = "merge_update"
+    result, cursor = QUERIES[name](spark, sf_dir), duck.execute(oracle_sql()[name])
+    columns = [d[0] for d in cursor.description]
+    assert rows_of(result.columns, result.collect()) != rows_of(columns, cursor.fetchall())

@@ -6,6 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tributary.functions.values import SILVER_COMMENT
+from tributary.schemas import DEAD_LETTER, RAW_ORDERS, STG_ORDERS, columns_ddl
+
 LAYERS = ("bronze", "silver", "gold", "serving")
 
 
@@ -39,6 +42,10 @@ class Layout:
     def order_snapshots(self) -> str:
         return f"{self.layer('silver')}/order_snapshots"
 
+    @property
+    def step_inputs(self) -> str:
+        return f"{self.layer('silver')}/step_inputs"
+
     @property
     def consumed(self) -> str:
         return f"{self.layer('silver')}/consumed"
@@ -53,9 +60,25 @@ class Layout:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{self.layer(layer)}'")
         return names
 
+    def create_tables(self, spark: SparkSession) -> list[str]:
+        """Definitions of the tables in their databases: columns, defaults and comment."""
+        bronze, silver, *_ = self.create_databases(spark)
+        names = []
+        for database, name, schema, comment in (
+            (bronze, "raw_orders", RAW_ORDERS, ""),
+            (silver, "dead_letter", DEAD_LETTER, ""),
+            (silver, "stg_orders", STG_ORDERS, SILVER_COMMENT),
+        ):
+            about = f" COMMENT '{comment}'" if comment else ""
+            spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns_ddl(name, schema)}) USING parquet{about}"
+            )
+            names.append(f"{database}.{name}")
+        return names
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder that every executor can reach, below ``spark.checkpoint.dir``.
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new path that every executor can reach, below ``spark.checkpoint.dir``.
 
     Only a local session may leave that unset; it gets a folder of this machine.
     """
@@ -67,6 +90,16 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="tributary-")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder at such a path; it goes when the session's JVM ends."""
+    path = scratch_path(spark)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path
+
+
 def register_views(spark: SparkSession, **tables: DataFrame) -> None:
     for name, table in tables.items():
         table.createOrReplaceTempView(name)

@@ -1,33 +1,99 @@
-"""The same queries as plain SQL, for a check by another engine."""
+"""The same queries as plain SQL, for a check by another engine.
+
+Paths, types, columns and the update set are written out here once more, on purpose: nothing that
+decides a result is taken from the code under check. Only the texts of reasons are shared.
+"""
 
 from tributary.functions import values as V
-from tributary.functions.documents import FIELDS
-from tributary.operators.merge import COLUMNS
-from tributary.schemas import UPDATED_COLUMNS
 
-SHOWN = tuple(c for c in COLUMNS if c not in ("ingested_at", "transformed_at"))
+# Where a field is in a document, and as what it is read.
+FIELDS = (
+    ("order_id", "$.order_id", "string"),
+    ("order_date_text", "$.order_date", "string"),
+    ("order_status", "$.order_status", "string"),
+    ("customer_id", "$.customer.customer_id", "string"),
+    ("customer_name", "$.customer.customer_name", "string"),
+    ("customer_region", "$.customer.region", "string"),
+    ("customer_segment", "$.customer.segment", "string"),
+    ("supplier_id", "$.supplier.supplier_id", "string"),
+    ("supplier_name", "$.supplier.supplier_name", "string"),
+    ("supplier_country", "$.supplier.country", "string"),
+    ("lead_time_days", "$.supplier.lead_time_days", "decimal(38,0)"),
+    ("performance_score", "$.supplier.performance_score", "double"),
+    ("supplier_performance_score", "$.supplier.supplier_performance_score", "double"),
+    ("shipment_id", "$.shipment.shipment_id", "string"),
+    ("carrier", "$.shipment.carrier", "string"),
+    ("ship_date_text", "$.shipment.ship_date", "string"),
+    ("estimated_delivery_text", "$.shipment.estimated_delivery", "string"),
+    ("delay_days", "$.shipment.delay_days", "decimal(38,0)"),
+    ("product_id", "$.items[0].product_id", "string"),
+    ("product_name", "$.items[0].product_name", "string"),
+    ("category", "$.items[0].category", "string"),
+    ("quantity", "$.items[0].quantity", "decimal(38,0)"),
+    ("unit_price", "$.items[0].unit_price", "double"),
+    ("total_amount", "$.financials.total_amount", "double"),
+    ("payment_status", "$.financials.payment_status", "string"),
+    ("warehouse_id", "$.warehouse.warehouse_id", "string"),
+    ("warehouse_location", "$.warehouse.warehouse_location", "string"),
+    ("inventory_level", "$.warehouse.inventory_level", "decimal(38,0)"),
+)
+
+# The columns of the tables, and those a later document overwrites.
+SHOWN = (
+    "order_id", "order_date", "order_status", "customer_id", "customer_name", "customer_region",
+    "customer_segment", "supplier_id", "supplier_name", "supplier_country", "lead_time_days",
+    "performance_score", "shipment_id", "carrier", "ship_date", "estimated_delivery", "delay_days",
+    "product_id", "product_name", "category", "quantity", "unit_price", "total_amount", "payment_status",
+    "warehouse_id", "warehouse_location", "inventory_level", "file_name", "file_row_number",
+)
+UPDATED = (
+    "order_status", "carrier", "ship_date", "estimated_delivery", "delay_days", "inventory_level",
+    "payment_status", "customer_name", "customer_region", "supplier_name", "performance_score",
+    "warehouse_id", "warehouse_location",
+)
+ORDER_TYPES = {
+    "order_date": "timestamp_ntz", "lead_time_days": "decimal(38,0)", "performance_score": "double",
+    "ship_date": "timestamp_ntz", "estimated_delivery": "date", "delay_days": "decimal(38,0)",
+    "quantity": "decimal(38,0)", "unit_price": "double", "total_amount": "double",
+    "inventory_level": "decimal(38,0)", "file_row_number": "decimal(38,0)",
+    "ingested_at": "timestamp_ntz", "transformed_at": "timestamp_ntz",
+}
+DEFINITIONS = {
+    "raw_orders": (
+        ("raw_data", "variant"), ("ingested_at", "timestamp_ntz"), ("file_name", "string"),
+        ("file_row_number", "decimal(38,0)"), ("load_id", "string"),
+    ),
+    "dead_letter": (
+        ("raw_data", "variant"), ("error_reason", "string"), ("file_name", "string"),
+        ("file_row_number", "decimal(38,0)"), ("rejected_at", "timestamp_ntz"),
+    ),
+    "stg_orders": tuple((c, ORDER_TYPES.get(c, "string")) for c in (*SHOWN, "ingested_at", "transformed_at")),
+}
+COMMENT = " silver layer stage 1 -- flattened and clean supply chain "
+FILES = 8
 
 
 def _unless(k: str, value: str, other: str = "NULL") -> str:
     return f"CASE WHEN k IN ({k}) THEN {other} ELSE {value} END"
 
 
-_LINE = (
-    "struct_pack(n := l_linenumber, p := l_partkey, s := l_suppkey,"
-    " q := CAST(l_quantity AS BIGINT), d := l_shipdate)"
-)
+_QUANTITY = "CASE WHEN l_orderkey % 101 = 10 THEN NULL WHEN l_orderkey % 101 = 11 THEN 0 ELSE CAST(l_quantity AS BIGINT) END"
+_PRICE = "CASE WHEN l_orderkey % 101 = 12 THEN NULL WHEN l_orderkey % 101 = 13 THEN -1.5::DOUBLE ELSE p_retailprice END"
+_ORDER = "ORDER BY l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT), l_shipdate"
 
 JOINED = f"""
-line_ends AS (
-  SELECT l_orderkey, min({_LINE}) AS fst, max({_LINE}) AS lst FROM lineitem GROUP BY l_orderkey
+order_lines AS (
+  SELECT l_orderkey, first(l_shipdate {_ORDER}) AS first_shipdate, first(p_size {_ORDER}) AS first_size,
+    list(struct_pack(product_id := 'prd-' || l_partkey, product_name := p_name, category := p_type,
+      quantity := {_QUANTITY}, unit_price := {_PRICE}) {_ORDER}) AS items
+  FROM lineitem LEFT JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey
 ),
 joined AS (
-  SELECT o_orderkey, o_orderkey % 101 AS k, o_orderstatus, o_totalprice, o_orderdate, fst, lst,
-         p_name, p_type, p_retailprice, p_size, c_custkey, c_name, r_name, c_mktsegment,
+  SELECT o_orderkey, o_orderkey % 101 AS k, o_orderstatus, o_totalprice, o_orderdate,
+         first_shipdate, first_size AS p_size, items, c_custkey, c_name, r_name, c_mktsegment,
          s_suppkey, s_name, sn.n_name AS s_country
   FROM orders
-  LEFT JOIN line_ends ON l_orderkey = o_orderkey
-  LEFT JOIN part ON p_partkey = fst.p
+  LEFT JOIN order_lines ON l_orderkey = o_orderkey
   LEFT JOIN customer ON c_custkey = o_custkey
   LEFT JOIN nation cn ON cn.n_nationkey = c_nationkey
   LEFT JOIN region ON r_regionkey = cn.n_regionkey
@@ -54,13 +120,6 @@ def _documents(revision: int) -> str:
         f" ELSE strftime(o_orderdate, {iso}) END", "'garbage'"
     ))
     score = _unless("19", _unless("6, 8", _unless("7", "s_suppkey % 101", "-1"), "101"))
-    first_item = f"""struct_pack(
-        product_id := 'prd-' || fst.p, product_name := p_name, category := p_type,
-        quantity := {_unless("11", _unless("10", "fst.q"), "0")},
-        unit_price := {_unless("13", _unless("12", "p_retailprice"), "-1.5::DOUBLE")})"""
-    last_item = """struct_pack(
-        product_id := 'prd-' || lst.p, product_name := NULL::VARCHAR, category := NULL::VARCHAR,
-        quantity := lst.q, unit_price := NULL::DOUBLE)"""
     inventory = _unless("20, 21", _unless("16", "p_size", "-1"))
     return f"""
 docs{revision} AS (
@@ -80,11 +139,10 @@ docs{revision} AS (
         supplier_performance_score := CASE WHEN k = 8 THEN 120 END),
     shipment := struct_pack(
         shipment_id := 'shp-' || o_orderkey, carrier := {carrier},
-        ship_date := strftime(fst.d, {iso}),
+        ship_date := strftime(first_shipdate, {iso}),
         estimated_delivery := strftime(o_orderdate + INTERVAL 10 DAY, '%Y-%m-%d'),
-        delay_days := date_diff('day', CAST(o_orderdate AS DATE), CAST(fst.d AS DATE)) - 30),
-    items := CASE WHEN fst IS NULL THEN [] WHEN fst = lst THEN [{first_item}]
-             ELSE [{first_item}, {last_item}] END,
+        delay_days := date_diff('day', CAST(o_orderdate AS DATE), CAST(first_shipdate AS DATE)) - 30),
+    items := coalesce(items, []),
     financials := struct_pack(
         total_amount := {total},
         payment_status := CASE o_orderkey % 3 WHEN 0 THEN 'paid' WHEN 1 THEN 'Due' END),
@@ -98,12 +156,12 @@ docs{revision} AS (
 
 def _typed(revision: int) -> str:
     columns = []
-    for field in FIELDS:
-        text = f"json_extract_string(doc, '{field.path}')"
-        if field.type == "string":
-            columns.append(f"{text} AS {field.name}")
+    for name, path, kind in FIELDS:
+        text = f"json_extract_string(doc, '{path}')"
+        if kind == "string":
+            columns.append(f"{text} AS {name}")
         else:
-            columns.append(f"TRY_CAST({text} AS {field.type}) AS {field.name}, {text} AS {field.name}_text")
+            columns.append(f"TRY_CAST({text} AS {kind}) AS {name}, {text} AS {name}_text")
     names = ",\n    ".join(columns)
     day_first = f"order_date_text LIKE '{V.DAY_FIRST_LIKE}'"
     return f"""
@@ -111,8 +169,8 @@ typed{revision} AS (
   SELECT * EXCLUDE (order_status), upper(trim(order_status)) AS order_status, {day_first} AS day_first,
     CASE WHEN {day_first} THEN try_strptime(order_date_text, '%d-%m-%Y')
          ELSE TRY_CAST(order_date_text AS TIMESTAMP) END AS order_timestamp
-  FROM (SELECT o_orderkey, 'r{revision}-' || (o_orderkey // 1000) || '.json' AS file_name,
-    o_orderkey % 1000 + 1 AS file_row_number, o_orderkey // 1000 AS file_no,
+  FROM (SELECT o_orderkey, 'r{revision}-' || (o_orderkey % {FILES}) || '.json' AS file_name,
+    o_orderkey // {FILES} + 1 AS file_row_number, o_orderkey % {FILES} AS file_no,
     json_extract(doc, '$.warehouse.inventory_level') IS NOT NULL AS inventory_given,
     {names}
   FROM docs{revision})
@@ -212,7 +270,7 @@ def _merged(target: str, source: str, *more: str) -> str:
     for c in (*SHOWN, *more):
         if c == "order_id":
             columns.append("coalesce(t.order_id, s.order_id) AS order_id")
-        elif c in UPDATED_COLUMNS:
+        elif c in UPDATED:
             columns.append(f"CASE WHEN s.order_id IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}")
         else:
             columns.append(f"CASE WHEN t.order_id IS NOT NULL THEN t.{c} ELSE s.{c} END AS {c}")
@@ -223,7 +281,7 @@ def _merged(target: str, source: str, *more: str) -> str:
 def _folded() -> str:
     columns = ["order_id"]
     for c in SHOWN[1:]:
-        pick = "arg_max_null" if c in UPDATED_COLUMNS else "arg_min_null"
+        pick = "arg_max_null" if c in UPDATED else "arg_min_null"
         columns.append(f"{pick}({c}, batch_id) AS {c}")
     union = " UNION ALL ".join(f"SELECT *, {r} AS batch_id FROM batch{r}" for r in (1, 2, 3))
     return f"SELECT {', '.join(columns)} FROM ({union}) GROUP BY order_id"
@@ -232,21 +290,17 @@ def _folded() -> str:
 def oracle_sql() -> dict[str, str]:
     shown = ", ".join(SHOWN)
     one, two = _with(1), _with(1, 2, extra=_batches(1, 2))
-    good_file = "(o_orderkey // 1000) % 5 <> 3"
     numbered = f"""{one}
 SELECT file_no, row_number() OVER (PARTITION BY file_no ORDER BY o_orderkey) AS file_row_number, order_id
-FROM typed1 WHERE {good_file}"""
+FROM typed1"""
     keyed = "SELECT file_name, file_row_number, order_id"
     typed_names = [
         c
-        for f in FIELDS
+        for name, _, kind in FIELDS
         for c in (
-            [f.name]
-            if f.type == "string"
-            else [
-                f"CAST({f.name} AS BIGINT) AS {f.name}" if f.type.startswith("decimal") else f.name,
-                f"{f.name}_text",
-            ]
+            [name]
+            if kind == "string"
+            else [f"CAST({name} AS BIGINT) AS {name}" if kind.startswith("decimal") else name, f"{name}_text"]
         )
         if c not in ("unit_price_text", "total_amount_text")
     ]
@@ -260,12 +314,12 @@ FROM typed1 WHERE {good_file}"""
   SELECT * FROM twice QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY file_row_number DESC) = 1
 )
 {_merged("batch1", "latest")}"""
-    # Files of the two end-to-end batches, with the same broken ones left out.
+    # Files of the two end-to-end batches.
     loaded = "".join(
         f""",
 loaded{r} AS (
   SELECT * REPLACE (row_number() OVER (PARTITION BY file_no ORDER BY o_orderkey) AS file_row_number)
-  FROM typed{r} WHERE {_BATCH[r]} AND {good_file}
+  FROM typed{r} WHERE {_BATCH[r]}
 )"""
         for r in (1, 2)
     )
@@ -274,6 +328,8 @@ loaded{r} AS (
     stored = steps + "".join(
         f",\nstep{r} AS (SELECT file_no, {columns} FROM loaded{r} WHERE {ACCEPTS})" for r in (1, 2)
     )
+    accounts = f"""count(*) FILTER ({ACCEPTS}) AS accepted, count(*) FILTER ({REJECTS}) AS rejected,
+  count(*) FILTER (coalesce({ACCEPTS}, false) = false AND coalesce({REJECTS}, false) = false) AS unrouted"""
     both = "(SELECT * FROM loaded1 UNION ALL SELECT * FROM loaded2)"
     stored_columns = ", ".join(c for c in (*SHOWN, "file_no") if c != "file_name")
     return {
@@ -281,14 +337,41 @@ loaded{r} AS (
         "bronze_lines": numbered,
         "bronze_load_history": """
 SELECT 'raw_orders' AS table_name, file_no,
-  CASE WHEN file_no % 5 = 3 THEN 0 ELSE n END AS row_count,
-  CASE WHEN file_no % 5 = 3 THEN 0 ELSE n END AS row_parsed,
-  CASE WHEN file_no % 5 = 3 THEN 'malformed JSON' END AS first_error,
-  CASE WHEN file_no % 5 = 3 THEN 'LOAD_FAILED' ELSE 'LOADED' END AS status
-FROM (SELECT o_orderkey // 1000 AS file_no, count(*) AS n FROM orders GROUP BY 1)""",
-        "bronze_pending_files": "SELECT DISTINCT o_orderkey // 1000 AS file_no FROM orders",
+  CASE WHEN file_no = 3 THEN 0 ELSE n END AS row_count,
+  CASE WHEN file_no = 3 THEN 0 ELSE n END AS row_parsed,
+  CASE WHEN file_no = 3 THEN 'malformed JSON' END AS first_error,
+  CASE WHEN file_no = 3 THEN 'LOAD_FAILED' ELSE 'LOADED' END AS status
+FROM (SELECT o_orderkey % 8 AS file_no, count(*) AS n FROM orders GROUP BY 1)""",
+        "bronze_load_history_lines": """
+SELECT 'raw_orders' AS table_name, file_no,
+  CASE WHEN file_no = 3 THEN 0 ELSE n END AS row_count,
+  CASE WHEN file_no = 3 THEN 0 ELSE n END AS row_parsed,
+  CASE WHEN file_no = 3 THEN 'malformed JSON' END AS first_error,
+  CASE WHEN file_no = 3 THEN 'LOAD_FAILED' ELSE 'LOADED' END AS status, 0 AS pending
+FROM (SELECT o_orderkey % 8 AS file_no, count(*) AS n FROM orders GROUP BY 1
+  UNION ALL SELECT 8, 0 UNION ALL SELECT 9, 0)""",
+        "bronze_lines_loaded": numbered,
+        "bronze_items": f"""WITH {JOINED}
+SELECT 'shp-' || o_orderkey AS shipment_id, position, item.product_id AS product_id,
+  item.product_name AS product_name, item.category AS category, CAST(item.quantity AS BIGINT) AS quantity,
+  item.unit_price AS unit_price
+FROM (SELECT o_orderkey, unnest(items) AS item, CAST(unnest(range(len(items))) AS BIGINT) AS position FROM joined)""",
+        "bronze_pipe_status": """
+SELECT phase, 'STOPPED' AS execution_state, CASE phase WHEN 'later' THEN n ELSE 0 END AS pending_files, loaded_rows
+FROM (VALUES ('loaded'), ('later')) v(phase),
+  (SELECT count(DISTINCT o_orderkey % 8) AS n, count(*) AS loaded_rows FROM orders)""",
+        "bronze_late_files": """
+SELECT late, documents FROM (VALUES (false), (true)) v(late), (SELECT count(*) AS documents FROM orders)""",
+        "bronze_shapes": "SELECT 'shp-' || o_orderkey AS shipment_id, '} {\\' AS note FROM orders",
+        "table_definitions": "SELECT table_name, position, column_name, type, comment, orders FROM (VALUES "
+        + ", ".join(
+            f"('{t}', {i}::BIGINT, '{c}', '{kind}', '{COMMENT if t == 'stg_orders' else ''}')"
+            for t, columns in DEFINITIONS.items() for i, (c, kind) in enumerate(columns)
+        )
+        + ") v(table_name, position, column_name, type, comment), (SELECT count(*) AS orders FROM orders)",
+        "bronze_pending_files": "SELECT DISTINCT o_orderkey % 8 AS file_no FROM orders",
         "stage_listing": f"""{one}
-SELECT o_orderkey // 1000 AS file_no, CAST(sum(strlen(doc) + 2) + 1 AS BIGINT) AS size
+SELECT o_orderkey % 8 AS file_no, CAST(sum(strlen(doc) + 2) + 1 AS BIGINT) AS size
 FROM docs1 GROUP BY 1""",
         "stream_append_only": f"""{steps}
 SELECT 0::BIGINT AS delivery, file_no, file_row_number, order_id, 'INSERT' AS action, false AS is_update
@@ -298,7 +381,7 @@ SELECT 1, file_no, file_row_number, order_id, 'INSERT', false FROM loaded2""",
         "stream_has_data": f"""
 SELECT phase, phase = 'loaded' AS has_data, CAST(loaded_rows AS BIGINT) AS loaded_rows
 FROM (VALUES ('empty'), ('loaded'), ('stepped')) v(phase),
-  (SELECT count(*) AS loaded_rows FROM orders WHERE {good_file})""",
+  (SELECT count(*) AS loaded_rows FROM orders)""",
         "silver_typed_fields": f"""{one}
 SELECT file_name, file_row_number, inventory_given, {typed_columns} FROM typed1""",
         "silver_reject": f"{one} {keyed} FROM typed1 WHERE {REJECTS}",
@@ -318,19 +401,35 @@ FROM typed1""",
         "silver_order_date": f"""{one}
 SELECT file_name, file_row_number, order_date_text, order_timestamp AS order_date FROM typed1""",
         "silver_orders": f"{one} SELECT {shown} FROM ({_orders(1)})",
-        "merge_insert": f"{_with(1, extra=_batches(1))} SELECT {shown} FROM batch1",
+        "merge_insert": f"{one} SELECT {shown} FROM ({_orders(1)})",
         "merge_update": f"{two} {_merged('batch1', 'batch2')}",
-        "merge_update_small_source": f"{two} {_merged('batch1', 'batch2')}",
         "merge_fold": f"{_with(1, 2, 3, extra=_batches(1, 2, 3))} {_folded()}",
         "merge_duplicate_latest": duplicates,
+        "merge_duplicate_reference": f"""{two}, twice AS (
+  SELECT * FROM batch2
+  UNION ALL
+  SELECT * REPLACE (file_row_number + 100000 AS file_row_number, 'AIR' AS carrier) FROM batch2 WHERE o_orderkey % 10 = 1
+), new_rows AS (SELECT * FROM twice WHERE order_id NOT IN (SELECT order_id FROM batch1))
+SELECT {shown}, true AS known_twice_fails FROM batch1 UNION ALL SELECT {shown}, true FROM new_rows""",
         "silver_step_counts": f"""{steps}
 SELECT 'stg_orders' AS table_name, count(DISTINCT upper(trim(order_id))) AS row_count
 FROM {both} WHERE {ACCEPTS}
 UNION ALL
 SELECT 'dead_letter', count(*) FROM {both} WHERE {REJECTS}""",
         "silver_row_accounting": f"""{steps}
-SELECT count(*) FILTER ({ACCEPTS}) AS accepted, count(*) FILTER ({REJECTS}) AS rejected,
-  count(*) FILTER (coalesce({ACCEPTS}, false) = false AND coalesce({REJECTS}, false) = false) AS unrouted
+SELECT {accounts}, count(*) FILTER ({ACCEPTS}) AS stored_changes, count(*) FILTER ({REJECTS}) AS stored_dead_letters,
+  count(*) AS stored_documents
 FROM {both}""",
+        # The third batch has every order twice; tolerant mode rejects what has no route.
+        "silver_failed_step": f"""{_with(1, 2, 3)}{loaded}, latest AS (
+  SELECT count(*) FILTER ({ACCEPTS}) AS good, count(*) AS n FROM typed3
+)
+SELECT accepted + 2 * good AS accepted, rejected + 2 * (n - good) AS rejected, unrouted,
+  accepted + good AS stored_changes, rejected + 2 * (n - good) AS stored_dead_letters,
+  accepted + rejected + unrouted + 2 * n AS stored_documents, true AS failed, true AS unchanged
+FROM (SELECT {accounts} FROM {both}), latest""",
+        "silver_scheduled_task": f"""{one}
+SELECT 'stg_orders' AS table_name, count(*) FILTER ({ACCEPTS}) AS row_count FROM typed1
+UNION ALL SELECT 'dead_letter', count(*) FILTER ({REJECTS}) FROM typed1""",
         "stored_orders": f"{stored} SELECT {stored_columns} FROM ({_merged('step1', 'step2', 'file_no')})",
     }

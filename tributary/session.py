@@ -7,8 +7,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Rows are costly to process for their size: keep all cores busy on little data.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     # Larger generated methods are never compiled by the JVM; split expressions are.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",

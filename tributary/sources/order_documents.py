@@ -1,16 +1,15 @@
 """Order documents made from the star-schema tables.
 
 Every 101st order carries one defect, chosen by ``o_orderkey % 101``, so each
-validation rule is met. Only the first element of ``items`` is ever read; the
-documents hold the first and the last line of an order. Both are plain
-aggregates, so an order with any number of lines never gathers in one place.
+validation rule is met. ``items`` holds all lines of an order with their parts;
+a document is one row, so its items are gathered per order.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-ORDERS_PER_FILE = 1000
+FILES = 8
 
 # Columns read of each table; a given schema saves a look into the files.
 TABLES = {
@@ -26,25 +25,29 @@ TABLES = {
 }
 
 
-def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with their first and last line, part, customer and supplier."""
+def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with all their lines and parts, the customer and a supplier; the same for every revision."""
     t = {n: spark.read.schema(ddl).parquet(f"{sf_dir}/{n}.parquet") for n, ddl in TABLES.items()}
-    line = "struct(l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS bigint) AS quantity, l_shipdate)"
-    lines = t["lineitem"].groupBy("l_orderkey").agg(
-        F.expr(f"min({line})").alias("first"), F.expr(f"max({line})").alias("last")
+    line = F.expr(
+        "struct(l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS bigint) AS quantity, l_shipdate,"
+        " p_name, p_type, p_retailprice, p_size)"
     )
+    lines = t["lineitem"].join(t["part"], F.expr("l_partkey = p_partkey"), "left")
+    lines = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
     regions = t["nation"].join(t["region"], F.expr("n_regionkey = r_regionkey"))
     customers = t["customer"].join(regions, F.expr("c_nationkey = n_nationkey"), "left")
     countries = t["nation"].selectExpr("n_nationkey AS s_nation", "n_name AS s_country")
     suppliers = t["supplier"].join(countries, F.expr("s_nationkey = s_nation"), "left")
     supplier_count = t["supplier"].select(F.count("*")).scalar()
     orders = t["orders"].withColumns({"k": F.expr("o_orderkey % 101"), "suppliers": supplier_count})
-    # Both sides grow with the data, and a shuffle also spreads the orders of a small input.
     return (
-        orders.join(lines.hint("merge"), F.expr("o_orderkey = l_orderkey"), "left")
-        .join(t["part"], F.expr("first.l_partkey = p_partkey"), "left")
+        orders.join(lines, F.expr("o_orderkey = l_orderkey"), "left")
         .join(customers.drop("n_name"), F.expr("o_custkey = c_custkey"), "left")
         .join(suppliers, F.expr("o_orderkey % suppliers = s_suppkey"), "left")
+        .selectExpr(
+            "o_orderkey", "k", "o_orderstatus", "o_totalprice", "o_orderdate", "lines", "lines[0] AS first",
+            "c_custkey", "c_name", "r_name", "c_mktsegment", "s_suppkey", "s_name", "s_country",
+        )
     )
 
 
@@ -69,13 +72,10 @@ def _document(revision: int) -> str:
     if revision == 3:
         name = "CAST(NULL AS string)"
     parent = "CASE WHEN o_orderkey % 2 = 0 THEN ' ord-' ELSE 'Ord-' END || o_orderkey"
-    first_item = f"""named_struct(
-        'product_id', 'prd-' || first.l_partkey, 'product_name', p_name, 'category', p_type,
-        'quantity', {_defect("first.quantity", k10="NULL", k11="0L")},
-        'unit_price', {_defect("p_retailprice", k12="NULL", k13="-1.5D")})"""
-    last_item = """named_struct(
-        'product_id', 'prd-' || last.l_partkey, 'product_name', CAST(NULL AS string),
-        'category', CAST(NULL AS string), 'quantity', last.quantity, 'unit_price', CAST(NULL AS double))"""
+    items = f"""transform(lines, line -> named_struct(
+        'product_id', 'prd-' || line.l_partkey, 'product_name', line.p_name, 'category', line.p_type,
+        'quantity', {_defect("line.quantity", k10="NULL", k11="0L")},
+        'unit_price', {_defect("line.p_retailprice", k12="NULL", k13="-1.5D")}))"""
     return f"""named_struct(
       'order_id', {_defect(parent, k1="NULL")},
       'order_date', {_defect(date, k2="'garbage'", k17="NULL")},
@@ -94,18 +94,17 @@ def _document(revision: int) -> str:
         'ship_date', date_format(first.l_shipdate, '{iso}'),
         'estimated_delivery', date_format(date_add(to_date(o_orderdate), 10), 'yyyy-MM-dd'),
         'delay_days', datediff(to_date(first.l_shipdate), to_date(o_orderdate)) - 30),
-      'items', CASE WHEN first IS NULL THEN filter(array({first_item}), item -> false)
-        WHEN first = last THEN array({first_item}) ELSE array({first_item}, {last_item}) END,
+      'items', coalesce({items}, array()),
       'financials', named_struct(
         'total_amount', {total},
         'payment_status', CASE o_orderkey % 3 WHEN 0 THEN 'paid' WHEN 1 THEN 'Due' END),
       'warehouse', named_struct(
         'warehouse_id', 'wh-' || (o_orderkey % 7),
         'warehouse_location', CASE WHEN o_orderkey % 2 = 0 THEN 'Hall a' END,
-        'inventory_level', {_defect("p_size", k16="-1", k20="NULL", k21="NULL")}))"""
+        'inventory_level', {_defect("first.p_size", k16="-1", k20="NULL", k21="NULL")}))"""
 
 
-def order_documents(spark: SparkSession, sf_dir: str, revision: int = 1) -> DataFrame:
+def order_documents(facts: DataFrame, revision: int = 1) -> DataFrame:
     """``(o_orderkey, document)``, one JSON text per order.
 
     Revision 2 is a later document of the same order (shipped by rail, amount
@@ -114,10 +113,8 @@ def order_documents(spark: SparkSession, sf_dir: str, revision: int = 1) -> Data
     text = f"to_json({_document(revision)}, map('ignoreNullFields', 'false'))"
     # An absent level and a JSON null are told apart by the rules, so one defect removes the key.
     without_level = """replace(document, ',"inventory_level":null', '')"""
-    return (
-        _joined(spark, sf_dir)
-        .selectExpr("o_orderkey", "k", f"{text} AS document")
-        .selectExpr("o_orderkey", f"CASE WHEN k = 21 THEN {without_level} ELSE document END AS document")
+    return facts.selectExpr("o_orderkey", "k", f"{text} AS document").selectExpr(
+        "o_orderkey", f"CASE WHEN k = 21 THEN {without_level} ELSE document END AS document"
     )
 
 
@@ -126,32 +123,33 @@ def in_batch(documents: DataFrame, revision: int) -> DataFrame:
     return documents.where({1: "o_orderkey % 3 < 2", 2: "o_orderkey % 3 > 0", 3: "o_orderkey % 3 = 1"}[revision])
 
 
-def raw_orders(spark: SparkSession, sf_dir: str, revision: int = 1) -> DataFrame:
+def raw_orders(facts: DataFrame, revision: int = 1) -> DataFrame:
     """The documents as bronze rows."""
-    return order_documents(spark, sf_dir, revision).selectExpr(
+    return order_documents(facts, revision).selectExpr(
         "o_orderkey",
         "parse_json(document) AS raw_data",
         "TIMESTAMP_NTZ'1970-01-01 00:00:00' AS ingested_at",
-        f"'r{revision}-' || (o_orderkey DIV {ORDERS_PER_FILE}) || '.json' AS file_name",
-        f"CAST(o_orderkey % {ORDERS_PER_FILE} + 1 AS decimal(38,0)) AS file_row_number",
+        f"'r{revision}-' || (o_orderkey % {FILES}) || '.json' AS file_name",
+        f"CAST(o_orderkey DIV {FILES} + 1 AS decimal(38,0)) AS file_row_number",
         f"'load-{revision}' AS load_id",
     )
 
 
-def write_files(documents: DataFrame, folder: str, array: bool = True) -> None:
-    """The documents as text files of up to a thousand orders, ``file_no=<n>/...``.
+def write_files(documents: DataFrame, folder: str, array: bool = True, broken: bool = False) -> None:
+    """The documents as eight text files in order of their keys, ``file_no=<n>/...``.
 
-    A file is one array over several lines, or one document per line. Every
-    fifth file is cut off after its last document and so malformed.
+    A file is one array over several lines, or one document per line. With
+    ``broken`` file 3 is cut off after its last document and so malformed.
     """
-    numbered = documents.withColumn("file_no", F.expr(f"o_orderkey DIV {ORDERS_PER_FILE}"))
+    numbered = documents.withColumn("file_no", F.expr(f"o_orderkey % {FILES}"))
     in_file = W.partitionBy("file_no").orderBy("o_orderkey")
     marked = numbered.withColumns({
         "is_first": F.lag("o_orderkey").over(in_file).isNull(),
         "is_last": F.lead("o_orderkey").over(in_file).isNull(),
     })
     start, separator, end = ("[", ",", "]") if array else ("", "", "")
-    tail = f"CASE WHEN NOT is_last THEN '{separator}' WHEN file_no % 5 = 3 THEN '{{' ELSE '{end}' END"
+    cut = "file_no = 3" if broken else "false"
+    tail = f"CASE WHEN NOT is_last THEN '{separator}' WHEN {cut} THEN '{{' ELSE '{end}' END"
     lines = marked.selectExpr(
         "file_no", "o_orderkey", f"if(is_first, '{start}', '') || document || {tail} AS value"
     )

@@ -31,17 +31,24 @@ def staging_path(table: str, batch: str) -> str:
 
 
 def publish(rows: DataFrame, table: str, batch: str) -> None:
-    """Write ``rows`` as ``<table>/<batch>`` unless that folder is already there."""
+    """Write ``rows`` as ``<table>/<batch>`` unless that folder is already there.
+
+    Callers make sure that a folder that is there comes from the same input.
+    """
     spark = rows.sparkSession
     final = f"{table}/{batch}"
     if exists(spark, final):
         return
     staging = staging_path(table, batch)
     rows.write.mode("overwrite").parquet(staging)
+    put_in_place(spark, staging, table, batch)
+
+
+def put_in_place(spark: SparkSession, staging: str, table: str, batch: str) -> None:
     fs, table_path = _hadoop(spark, table)
     fs.mkdirs(table_path)
-    if not fs.rename(_hadoop(spark, staging)[1], _hadoop(spark, final)[1]):
-        raise OSError(f"cannot publish {final}")
+    if not fs.rename(_hadoop(spark, staging)[1], _hadoop(spark, f"{table}/{batch}")[1]):
+        raise OSError(f"cannot publish {table}/{batch}")
 
 
 def batch_numbers(spark: SparkSession, table: str) -> list[int]:
@@ -66,28 +73,33 @@ def read_batches(spark: SparkSession, table: str, schema: T.StructType) -> DataF
     return spark.read.schema(full).parquet(table)
 
 
-def total_bytes(spark: SparkSession, table: str, batches: list[int]) -> int:
-    """Size on disk of some batches; reads names and lengths only."""
-    fs, _ = _hadoop(spark, table)
-    return sum(
-        fs.getContentSummary(_hadoop(spark, f"{table}/batch_id={b}")[1]).getLength() for b in batches
-    )
+def empty_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files of zero bytes under a folder, which Spark's file sources leave out: name, size, last change."""
+    fs, folder = _hadoop(spark, path)
+    found, base = [], path_part(spark, path).rstrip("/") + "/"
+    files = fs.listFiles(folder, True) if fs.exists(folder) else None
+    while files is not None and files.hasNext():
+        status = files.next()
+        name = status.getPath().toUri().getPath().removeprefix(base)
+        if status.getLen() == 0 and not any(part[0] in "._" for part in name.split("/")):
+            found.append((name, 0, status.getModificationTime()))
+    rows = spark.createDataFrame(found, "name string, size long, millis long")
+    return rows.select("name", "size", F.timestamp_millis("millis").alias("last_modified"))
 
 
 def list_files(spark: SparkSession, path: str, md5: bool = False) -> DataFrame:
-    """Files under a folder: name, size, last change and, on request, content hash.
-
-    Spark's file sources leave out files of zero bytes, here as in the load.
-    """
+    """Files under a folder: name, size, last change and, on request, content hash."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     columns = [
         relative_name(F.col("path"), path_part(spark, path)).alias("name"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("last_modified"),
     ]
+    empty = empty_files(spark, path)
     if md5:
         columns.insert(2, F.md5("content").alias("md5"))
-    return files.select(*columns)
+        empty = empty.withColumn("md5", F.md5(F.lit("").cast("binary")))
+    return files.select(*columns).unionByName(empty)
 
 
 def relative_name(file_path, base_path: str):
