@@ -61,4 +61,73 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_WINDOW = 50
+
+_SUBSTRING_SQL = f"""
+WITH words AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(ws[i + 1:i + {_WINDOW}], ' ')) AS body
+  FROM (SELECT doc_id, ws, unnest(range(len(ws) - {_WINDOW - 1})) AS i FROM words WHERE len(ws) >= {_WINDOW})
+),
+owners AS (SELECT body, min(doc_id) AS owner FROM windows GROUP BY body),
+gone AS (
+  SELECT DISTINCT doc_id, i + o AS i FROM windows JOIN owners USING (body), range({_WINDOW}) r(o) WHERE owner < doc_id
+),
+single AS (SELECT doc_id, unnest(range(len(ws))) AS i, unnest(ws) AS word FROM words),
+kept AS (
+  SELECT s.doc_id, count(g.i) AS n_removed, string_agg(word, ' ' ORDER BY s.i) FILTER (g.i IS NULL) AS kept
+  FROM single s LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.i = s.i GROUP BY s.doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON k.doc_id = w.doc_id"""
+
+
+def _decontaminate_sql(settings: decontaminate.Settings) -> str:
+    span, flank = settings.span, settings.flank
+    seeds = ", ".join(
+        f"concat_ws(' ', {number}, " + ", ".join(f"ws[pos + {i + 1}]" for i, bit in enumerate(mask) if bit == "1") + ")"
+        for number, mask in enumerate(settings.masks)
+    )
+    words = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
+
+    def placed(table: str, key: str) -> str:
+        return f"""SELECT id, ws, pos, unnest([{seeds}]) AS seed FROM (
+    SELECT {key} AS id, ws, unnest(range(len(ws) - {span - 1})) AS pos
+    FROM (SELECT {key}, {words} AS ws FROM {table} WHERE {key} IS NOT NULL) WHERE len(ws) >= {span})"""
+
+    return f"""
+WITH d AS ({placed("documents", "doc_id")}),
+b AS ({placed("benchmark", "item_id")}),
+hits AS (
+  SELECT DISTINCT d.id, b.id AS item, d.pos, b.pos AS item_pos, d.ws, b.ws AS item_ws,
+    least({flank}, d.pos, b.pos) AS l, least({span + flank}, len(d.ws) - d.pos, len(b.ws) - b.pos) AS r
+  FROM d JOIN b ON d.seed = b.seed
+),
+compared AS (
+  SELECT id, item, pos, item_pos, l, r, CAST(count(*) FILTER (ws[pos + k + 1] = item_ws[item_pos + k + 1]) AS DOUBLE) / (l + r) AS share
+  FROM (SELECT *, unnest(range(-l, r)) AS k FROM hits) GROUP BY id, item, pos, item_pos, l, r
+),
+spans AS (
+  SELECT id, item, min(pos - l) AS s, max(pos + r) AS e, max(share) AS share
+  FROM compared WHERE share >= {settings.agree} GROUP BY id, item, pos - item_pos
+),
+found AS (
+  SELECT id, count(DISTINCT item) AS n_items, max(share) AS agree
+  FROM spans GROUP BY id
+),
+items AS (SELECT id, string_agg(CAST(item AS VARCHAR), ',' ORDER BY item) AS items FROM (SELECT DISTINCT id, item FROM spans) GROUP BY id),
+places AS (
+  SELECT id, string_agg(concat_ws(':', item, s, e), ',' ORDER BY s, e, item) AS "overlaps"
+  FROM (SELECT DISTINCT id, item, s, e FROM spans) GROUP BY id
+)
+SELECT doc_id, found.id IS NOT NULL AS contaminated, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  coalesce(items, '') AS items, coalesce("overlaps", '') AS "overlaps", coalesce(agree, 0.0::DOUBLE) AS agree
+FROM documents LEFT JOIN found ON found.id = doc_id LEFT JOIN items ON items.id = doc_id LEFT JOIN places ON places.id = doc_id"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op9_substring_dedup": _SUBSTRING_SQL,
+    "op10_decontaminate": _decontaminate_sql(decontaminate.Settings()),
+}
