@@ -138,8 +138,10 @@ def cast_error() -> str:
     return _first_match(pairs)
 
 
-def classify(raw_orders: DataFrame, mode: Mode = "reference") -> DataFrame:
-    """Add the typed fields, ``route`` and ``error_reason`` to raw documents.
+def classify(raw_orders: DataFrame, mode: Mode = "reference", columns: tuple[str, ...] | None = None) -> DataFrame:
+    """Add the typed fields, ``route`` and ``error_reason`` to raw documents, or only those of ``columns``.
+
+    Name the columns that are needed: all that are added are computed, used or not.
 
     ``reference`` fails on a value that a strict cast cannot read and leaves
     documents with NULL in a tested field unrouted. ``tolerant`` rejects both
@@ -169,7 +171,7 @@ def classify(raw_orders: DataFrame, mode: Mode = "reference") -> DataFrame:
     )
     # A filter on ``route`` would be rewritten into all rules over the raw document
     # and read every field again, several times. It cannot pass a generator.
-    result = ", ".join([*fields, "route", "error_reason"])
+    result = ", ".join(columns or [*fields, "route", "error_reason"])
     return routed.selectExpr(*raw_orders.columns, f"inline(array(struct({result})))")
 
 

@@ -371,7 +371,8 @@ SELECT late, documents FROM (VALUES (false), (true)) v(late), (SELECT count(*) A
         + ") v(table_name, position, column_name, type, comment), (SELECT count(*) AS orders FROM orders)",
         "bronze_pending_files": "SELECT DISTINCT o_orderkey % 8 AS file_no FROM orders",
         "stage_listing": f"""{one}
-SELECT o_orderkey % 8 AS file_no, CAST(sum(strlen(doc) + 2) + 1 AS BIGINT) AS size
+SELECT o_orderkey % 8 AS file_no, CAST(sum(strlen(doc) + 2) + 1 AS BIGINT) AS size,
+  md5('[' || string_agg(doc, ',' || chr(10) ORDER BY o_orderkey) || ']' || chr(10)) AS md5
 FROM docs1 GROUP BY 1""",
         "stream_append_only": f"""{steps}
 SELECT 0::BIGINT AS delivery, file_no, file_row_number, order_id, 'INSERT' AS action, false AS is_update

@@ -53,8 +53,8 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source.raw_orders(_facts(spark, sf_dir)).drop("o_orderkey")
 
 
-def _classified(spark: SparkSession, sf_dir: str, mode: str = "reference") -> DataFrame:
-    return rules.classify(_raw(spark, sf_dir), mode)
+def _classified(spark: SparkSession, sf_dir: str, *columns: str, mode: str = "reference") -> DataFrame:
+    return rules.classify(_raw(spark, sf_dir), mode, columns or None)
 
 
 def _batches(spark: SparkSession, sf_dir: str, *revisions: int) -> list[DataFrame]:
@@ -195,7 +195,7 @@ def bronze_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, stage = _stage(spark, sf_dir)
-    return list_files(spark, stage).select(_file_no("name"), "size")
+    return list_files(spark, stage, md5=True).select(_file_no("name"), "size", "md5")
 
 
 def table_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -293,7 +293,7 @@ def _keyed(rows: DataFrame, *columns: str) -> DataFrame:
 
 
 def silver_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _keyed(_classified(spark, sf_dir).where(F.col("route") == rules.REJECTED), "order_id")
+    return _keyed(_classified(spark, sf_dir, "order_id", "route").where(F.col("route") == rules.REJECTED), "order_id")
 
 
 def silver_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,24 +305,26 @@ def silver_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejected = _classified(spark, sf_dir).where(F.col("route") == rules.REJECTED)
+    rejected = _classified(spark, sf_dir, "route", "error_reason").where(F.col("route") == rules.REJECTED)
     return rejected.groupBy("error_reason").agg(F.count("*").alias("documents"))
 
 
 def silver_accept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _keyed(_classified(spark, sf_dir).where(F.col("route") == rules.ACCEPTED), "order_id")
+    return _keyed(_classified(spark, sf_dir, "order_id", "route").where(F.col("route") == rules.ACCEPTED), "order_id")
 
 
 def silver_unrouted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _keyed(_classified(spark, sf_dir).where(F.col("route") == rules.UNROUTED), "order_id")
+    return _keyed(_classified(spark, sf_dir, "order_id", "route").where(F.col("route") == rules.UNROUTED), "order_id")
 
 
 def silver_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.route_counts(_classified(spark, sf_dir))
+    return rules.route_counts(_classified(spark, sf_dir, "route"))
 
 
 def silver_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _keyed(_classified(spark, sf_dir, "tolerant"), "route", "error_reason")
+    return _keyed(
+        _classified(spark, sf_dir, "route", "error_reason", mode="tolerant"), "route", "error_reason"
+    )
 
 
 def silver_order_date(spark: SparkSession, sf_dir: str) -> DataFrame:
