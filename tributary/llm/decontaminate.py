@@ -54,7 +54,7 @@ def seeds(rows: DataFrame, settings: Settings) -> DataFrame:
     return placed.select("*", F.explode(_seeds("words", "at", settings)).alias("seed"))
 
 
-def _extent(settings: Settings) -> tuple[Column, Column, Column]:
+def _compared(settings: Settings) -> list[Column]:
     """Words compared to the left and right of the start of the seed, and how many of them agree."""
     left = F.least(F.lit(settings.flank), F.col("at"), F.col("item_at"))
     right = F.least(
@@ -62,7 +62,7 @@ def _extent(settings: Settings) -> tuple[Column, Column, Column]:
     pairs = F.zip_with(
         F.slice("words", F.col("at") - left + 1, left + right),
         F.slice("item_words", F.col("item_at") - left + 1, left + right), lambda a, b: a == b)
-    return left, right, F.size(F.filter(pairs, lambda equal: equal))
+    return [left.alias("left"), right.alias("right"), F.size(F.filter(pairs, lambda equal: equal)).alias("equal")]
 
 
 def overlaps(documents: DataFrame, items: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id",
@@ -78,20 +78,21 @@ def overlaps(documents: DataFrame, items: DataFrame, settings: Settings = Settin
     blocks = max(1, -(-test_seeds.count() // settings.block_rows))
     ours = documents.select(F.col(id_col).alias("id"), word_hashes(F.col(text_col)).alias("words"))
     placed = seeds(ours, settings)
-    left, right, equal = _extent(settings)
     found = None
     for block in range(blocks):
         part = test_seeds.where(F.pmod(F.xxhash64("item", "item_at"), F.lit(blocks)) == block)
         hits = placed.join(F.broadcast(part), "seed").select(
-            "id", "item", "at", (F.col("at") - F.col("item_at")).alias("shift"), left.alias("left"),
-            right.alias("right"), equal.alias("equal"))
-        kept = hits.where(F.col("equal") >= settings.agree * (F.col("left") + F.col("right")))
-        found = kept if found is None else found.unionByName(kept)
+            "id", "item", "at", (F.col("at") - F.col("item_at")).alias("shift"), *_compared(settings))
+        found = hits if found is None else found.unionByName(hits)
+    # Hits are compared above the join and sorted out below: a comparison inside the join would take it and
+    # the explodes out of generated code, and every position would then copy the words of its document.
+    share = F.col("equal") / (F.col("left") + F.col("right"))
+    good = share >= settings.agree
     return found.groupBy("id", "item", "shift").agg(
-        F.min(F.col("at") - F.col("left")).alias("start"),
-        F.max(F.col("at") + F.col("right")).alias("end"),
-        F.max(F.col("equal") / (F.col("left") + F.col("right"))).alias("agree"),
-    ).withColumnRenamed("id", id_col)
+        F.min(F.when(good, F.col("at") - F.col("left"))).alias("start"),
+        F.max(F.when(good, F.col("at") + F.col("right"))).alias("end"),
+        F.max(share).alias("agree"),
+    ).where(F.col("agree") >= settings.agree).withColumnRenamed("id", id_col)
 
 
 def flagged(documents: DataFrame, items: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id",
