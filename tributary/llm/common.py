@@ -14,7 +14,7 @@ def written(rows: DataFrame, folder: str | None = None) -> DataFrame:
     """The rows, written once to the shared folder and read again: later steps neither compute
     them twice nor lose them with an executor."""
     spark = rows.sparkSession
-    path = folder or shared_folder(spark)
+    path = folder or f"{shared_folder(spark)}/rows"
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
