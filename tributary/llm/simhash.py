@@ -85,16 +85,29 @@ def links(nodes: DataFrame, bits: int = 4) -> DataFrame:
                         ).select("a", "b")
 
 
+SALTS = 16
+
+
+def _joined_by(edges: DataFrame, node: str, other: str, least: DataFrame) -> DataFrame:
+    """Edges with what is known of one of their nodes. The edges of a node are dealt over salts by their
+    other end, so that a node with very many of them is not one task's."""
+    salt = F.pmod(F.xxhash64(other), F.lit(SALTS).cast("long"))
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    salted = least.withColumn("salt", F.explode(salts))
+    return edges.withColumn("salt", salt).join(salted, [node, "salt"]).drop("salt")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
+    return _joined_by(both, "a", "b", least).where("b > a").select(
+        F.col("m").alias("a"), "b").where("a <> b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Edges run from a smaller a to a larger b."""
     least = edges.groupBy("b").agg(F.min("a").alias("m"))
-    return edges.join(least, "b").select(
+    return _joined_by(edges, "b", "a", least).select(
         F.explode(F.array(F.struct(F.col("m").alias("a"), F.col("b").alias("b")),
                           F.struct(F.col("m").alias("a"), F.col("a").alias("b")))).alias("e")
     ).select("e.*").where("a <> b").distinct()
