@@ -125,11 +125,15 @@ def fit(documents: DataFrame, settings: Settings = Settings(), id_col: str = "do
     found = rows.where(chosen).select("id", "text", "label").mapInArrow(
         run, "id long, label string, at binary, n binary").collect()
     found.sort(key=lambda r: (r["label"], r["id"] is None, r["id"] or 0, bytes(r["at"]), bytes(r["n"])))
-    counts = np.zeros((len(found), settings.buckets))
+    counts = np.zeros((len(found), settings.buckets), np.float32)
     for k, r in enumerate(found):
         counts[k, np.frombuffer(r["at"], "<i4")] = np.frombuffer(r["n"], "<f4")
-    weights = np.log((1 + len(found)) / (1 + (counts > 0).sum(axis=0))) + 1
-    vectors, labels = _normal(counts, weights), np.array([r["label"] for r in found])
+    weights = np.log((1 + len(found)) / (1 + np.count_nonzero(counts, axis=0))) + 1
+    # In place: this is the largest array on the driver.
+    np.log1p(counts, out=counts)
+    counts *= weights.astype(np.float32)
+    counts /= np.maximum(np.sqrt(np.einsum("ij,ij->i", counts, counts)), 1e-12)[:, None]
+    vectors, labels = counts, np.array([r["label"] for r in found])
     centres, names, floors = [], [], []
     for label in sorted(set(labels)):
         own = vectors[labels == label]
