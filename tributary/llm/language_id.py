@@ -3,8 +3,8 @@
 A text becomes a vector of hashed n-grams of its lower-cased letters (1 to 3, a gap between words counts
 as a sign), weighted by log frequency and inverse document frequency and normalised. The training texts
 of a language are clustered by cosine into a few centroids; a text gets the language of the nearest one.
-A text whose nearest centroid is farther than the distance bound of that centroid is rejected: its
-language is still named, but not trusted. The bound comes from the training texts of the cluster.
+A text whose nearest centroid is farther than the distance bound of its language is rejected: the
+language is still named, but not trusted. The bound comes from the language's own training texts.
 
 The model is fitted on a sample of about ``sample_rows`` labelled texts (the same expected number of each
 language, chosen by a hash of the id), whole texts, whose sparse vectors go to the driver: at most
@@ -47,7 +47,7 @@ class Model:
     weights: np.ndarray  # inverse document frequency of each bucket
     centroids: np.ndarray  # one row each, normalised
     languages: tuple[str, ...]  # of each centroid
-    floors: np.ndarray  # least similarity of each centroid
+    floors: np.ndarray  # least similarity for each centroid
 
 
 @cache
@@ -137,11 +137,11 @@ def fit(documents: DataFrame, settings: Settings = Settings(), id_col: str = "do
     centres, names, floors = [], [], []
     for label in sorted(set(labels)):
         own = vectors[labels == label]
-        for c in (group := _clusters(own, settings)):
-            near = (own @ c)[(own @ group.T).max(axis=1) <= own @ c + 1e-12]
-            centres.append(c)
-            names.append(str(label))
-            floors.append(settings.slack * np.quantile(near, settings.quantile) if len(near) else 1.0)
+        group = _clusters(own, settings)
+        floor = settings.slack * float(np.quantile((own @ group.T).max(axis=1), settings.quantile))
+        centres += list(group)
+        names += [str(label)] * len(group)
+        floors += [floor] * len(group)
     return Model(settings, weights, np.array(centres).reshape(-1, settings.buckets), tuple(names), np.array(floors))
 
 
