@@ -94,7 +94,8 @@ def _joined_by(edges: DataFrame, node: str, other: str, least: DataFrame) -> Dat
     salt = F.pmod(F.xxhash64(other), F.lit(SALTS).cast("long"))
     salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
     salted = least.withColumn("salt", F.explode(salts))
-    return edges.withColumn("salt", salt).join(salted, [node, "salt"]).drop("salt")
+    # Spark takes the salted rows for as small as they were before, so it is told not to broadcast them.
+    return edges.withColumn("salt", salt).join(salted.hint("merge"), [node, "salt"]).drop("salt")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
