@@ -97,3 +97,15 @@ def test_query_against_model(spark, sf_dir):
     docs = [(r[0], r[1]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted(map(tuple, op9_substring_dedup(spark, sf_dir).collect()), key=str)
     assert got == model(docs, 50)
+
+
+def test_common_passage_is_one_body_whatever_its_neighbours(spark):
+    passage = " ".join(f"p{i}" for i in range(14))
+    rows = [(d, " ".join([*(f"a{d}x{i}" for i in range(12)), passage, *(f"b{d}x{i}" for i in range(12))])) for d in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "xxhash64(text) AS text_key", "text")
+    bodies = lambda crowded: max(r["count"] for r in substring_dedup.shared_segments(
+        df, substring_dedup.Settings(10, 3, 128, 10_000, crowded)).select("key", "body").distinct().groupBy("key").count().collect())
+    assert bodies(5) <= 5  # untrimmed, every document has bodies of its own
+    assert bodies(1000) >= 30
+    settings = substring_dedup.Settings(10, 3, 128, 10_000, 5)
+    assert sorted(map(tuple, substring_dedup.report(df, settings).collect()), key=str) == model(rows, 10)

@@ -7,8 +7,10 @@ are one, under the smallest id; their words go to the shard of the key. There an
 them, the segments stream through it backwards, and each window gets the smallest id of the documents in
 its interval of the suffix order. A window is removed from every document with a larger id.
 
-Keys with very many segments are split by a second hash of the same kind, so a common line does not
-gather all documents around it in one shard. Runs of one key are cut after ``longest`` windows.
+Keys with very many segments are first trimmed to the windows whose hash occurs under two ids: a passage
+that many documents hold between different neighbours becomes one body, and what is gathered under a key
+grows with the different shared texts, not with the documents. Those keys are then split by a second hash
+of the same kind. Runs of one key are cut after ``longest`` windows.
 
 Null and empty texts have no words. A text shorter than a window keeps all words. Documents without id
 keep theirs and are no source of removals. Rows with one id are each compared with smaller ids only.
@@ -34,7 +36,7 @@ class Settings:
     gram: int = 8
     longest: int = 128  # windows of a segment
     shard_words: int = 1_000_000
-    crowded: int = 20_000  # segments of one key from which it is split
+    crowded: int = 20_000  # segments of one key from which it is trimmed and split
 
 
 FACTOR, MIX, SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA24BAED4963EE407)
@@ -110,6 +112,77 @@ def segments(documents: DataFrame, settings: Settings) -> DataFrame:
         run, ", ".join(f"{n} long" for n in names))
 
 
+def _window_hashes(documents: DataFrame, busy: DataFrame, settings: Settings) -> DataFrame:
+    """``key, doc_id, text_key, start, at, hash``: every window of the segments, ``at`` counted from the text's start."""
+    names = ["key", "doc_id", "text_key", "start", "at", "hash"]
+    lists = busy.select("key", "doc_id", "text_key", "start", "n").distinct().groupBy(
+        F.col("doc_id").alias("of"), F.col("text_key").alias("of_text")).agg(
+        F.collect_list(F.struct("key", "start", "n")).alias("parts"))
+    rows = documents.join(lists, (F.col("doc_id") == F.col("of")) & (F.col("text_key") == F.col("of_text")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, text_key, text, parts in zip(*(batch.column(k).to_pylist() for k in range(2)), batch.column(2), batch.column(3)):
+                numbers, out = _mixed(_numbers(words_of(text.as_py())), SECOND), [[] for _ in names]
+                for p in parts.as_py():
+                    n, start = p["n"], p["start"]
+                    hashes = np.zeros(n, np.uint64)
+                    for i in range(settings.window):
+                        hashes = hashes * FACTOR + numbers[start + i:start + i + n]
+                    for column, values in zip(out, (
+                        np.full(n, p["key"]), np.full(n, doc), np.full(n, text_key), np.full(n, start),
+                        np.arange(start, start + n), _mixed(hashes).view(np.int64),
+                    )):
+                        column.append(values)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in out], names)
+
+    return rows.select("doc_id", "text_key", "text", "parts").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+
+
+def _trimmed(documents: DataFrame, busy: DataFrame, settings: Settings) -> DataFrame:
+    """The segments cut to the runs of windows whose hash occurs under two ids, and a body for each run."""
+    names = ["key", "body", "doc_id", "text_key", "start", "n"]
+    windows = written(_window_hashes(documents, busy, settings))
+    known = written(windows.groupBy(F.col("hash").alias("same")).agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("many")).where("low < high"))
+    # Hashes with many windows are few, at most one in ``crowded``: they go to every task, so the join has no hot key.
+    often = known.where(F.col("many") > settings.crowded).select("same")
+    rare = known.where(F.col("many") <= settings.crowded).select("same")
+    at_often = windows.join(F.broadcast(often), F.col("hash") == F.col("same"), "left_semi")
+    at_rare = windows.join(F.broadcast(often), F.col("hash") == F.col("same"), "left_anti").join(
+        rare, F.col("hash") == F.col("same"), "left_semi")
+    runs = at_often.unionByName(at_rare).groupBy("key", "doc_id", "text_key", "start").agg(
+        F.array_sort(F.collect_set(F.struct("at", "hash"))).alias("windows"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for key, doc, text_key, windows in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                at = np.array([w["at"] for w in windows])
+                hashes = np.array([w["hash"] for w in windows], np.int64)
+                begins = np.flatnonzero(np.append(True, np.diff(at) != 1))
+                for b, e in zip(begins, np.append(begins[1:], len(at))):
+                    body = xxhash.xxh64_intdigest(hashes[b:e].tobytes()) - (1 << 63)
+                    out.append((key, body, doc, text_key, int(at[b]), int(e - b)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(6)], names)
+
+    return runs.select("key", "doc_id", "text_key", "windows").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+
+
+def shared_segments(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The segments whose key occurs under two ids, and whether the key is ``crowded``; those are trimmed."""
+    found = written(segments(documents, settings))
+    keys = found.groupBy("key").agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("many")).where("low < high")
+    keys = keys.select(F.col("key").alias("shared"), (F.col("many") > settings.crowded).alias("crowded"))
+    shared = written(found.join(keys, F.col("key") == F.col("shared")).drop("shared"))
+    busy = shared.where("crowded")
+    if busy.isEmpty():
+        return shared
+    trimmed = _trimmed(documents, busy, settings).withColumn("crowded", F.lit(True))
+    return written(shared.where("NOT crowded").unionByName(trimmed))
+
+
 def _shard_texts(documents: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
     """The words of the wanted segments: ``cell, key, body, doc_id, top, shift, words``."""
     names = ["cell", "key", "body", "doc_id", "top", "shift", "words"]
@@ -175,11 +248,7 @@ def _shared_windows(shard: pa.Table, window: int) -> pa.Table:
 
 def removed_ranges(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, text_key, first, end``: ranges of words to remove (they may overlap), of ``doc_id, text_key, text``."""
-    found = written(segments(documents, settings))
-    keys = found.groupBy("key").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("many")).where("low < high")
-    keys = keys.select(F.col("key").alias("shared"), (F.col("many") > settings.crowded).alias("crowded"))
-    shared = written(found.join(keys, F.col("key") == F.col("shared")).drop("shared"))
+    shared = shared_segments(documents, settings)
     place = F.struct("doc_id", "text_key", "start", "n", "crowded")
     wanted = shared.groupBy("key", "body").agg(F.min(place).alias("at"), F.max("doc_id").alias("top")).select(
         "key", "body", "top", "at.*")
