@@ -78,3 +78,15 @@ def test_query_against_model(spark, sf_dir):
         assert got[n] == sorted((i, s, e) for i, b in close for _, s, e in brute.overlaps(
             t, b, decontaminate.Settings())), n
     assert any(r["contaminated"] for r in rows)
+
+
+def test_quoted_parts_and_short_items(spark):
+    words = [f"i{k}" for k in range(40)]
+    quoted = " ".join([*(f"a{k}" for k in range(15)), *words[14:27], *(f"b{k}" for k in range(15))])
+    rows = [(1, quoted), (2, " ".join(words[14:25])), (3, "he asked what is the capital of peru again"), (4, "what is the capital")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(words)), (8, "What is the capital of Peru?")], "item_id long, text string")
+    out = {r["doc_id"]: (r["overlaps"], r["agree"]) for r in decontaminate.report(df, bench).collect()}
+    assert out == {1: ("7:15:28", 1.0), 2: out[2], 3: ("8:2:8", 1.0), 4: ("", 0.0)}
+    assert {r["doc_id"] for r in decontaminate.decontaminated(df, bench).collect()} == {2, 4}
+    assert decontaminate.report(df, bench, decontaminate.Settings(block_rows=1)).where("contaminated").count() == 2

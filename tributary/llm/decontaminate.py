@@ -3,11 +3,13 @@
 Both sides become lower-cased words. Fixed masks lie over every run of ``span`` words and hash only the
 words under a 1, so a changed word under a 0 does not hide a hit. Equal hashes of a test item and a
 document give a hit; around it the two are laid side by side, and the overlap counts if enough words
-agree. Everything but the small table of test seeds stays with its document: the seeds are joined in
+agree. If they do not, a run of words as long as the span that agrees word for word counts by itself: a
+quoted part of an item in another text. Everything but the small table of test seeds stays with its document: the seeds are joined in
 blocks of a bounded number of rows, each small enough to send to every executor, so a larger test set
 means more blocks and not a larger broadcast.
 
-Null or empty texts have no words and no hits. A text or item with fewer words than the span has no seed.
+Null or empty texts have no words and no hits. An item with fewer words than the span has one seed over all
+its words and is found wherever they stand in a row, however few they are.
 Repeated items are found one by one, repeated documents get a row each. Null item ids are ignored.
 """
 
@@ -62,14 +64,40 @@ def _compared(settings: Settings) -> list[Column]:
     pairs = F.zip_with(
         F.slice("words", F.col("at") - left + 1, left + right),
         F.slice("item_words", F.col("item_at") - left + 1, left + right), lambda a, b: a == b)
-    return [left.alias("left"), right.alias("right"), F.size(F.filter(pairs, lambda equal: equal)).alias("equal")]
+    same = F.slice("words", F.col("at") + 1, settings.span) == F.slice("item_words", F.col("item_at") + 1, settings.span)
+    return [left.alias("left"), right.alias("right"), F.size(F.filter(pairs, lambda equal: equal)).alias("equal"),
+            same.alias("same")]
+
+
+def _short_overlaps(ours: DataFrame, test: DataFrame, settings: Settings) -> DataFrame | None:
+    """Where the items of fewer words than the span stand word for word; None if there are none."""
+    short = test.where(F.size("words").between(1, settings.span - 1)).select(
+        "item", F.size("words").alias("n"), F.xxhash64("words").alias("seed"))
+    sizes = {r["n"]: r["count"] for r in short.groupBy("n").count().collect()}
+    if not sizes:
+        return None
+
+    def of(n: int) -> Column:
+        return F.transform(_positions("words", n), lambda i: F.struct(
+            F.lit(n).alias("n"), i.alias("at"), F.xxhash64(F.slice("words", i + 1, n)).alias("seed")))
+
+    placed = ours.select("id", F.explode(F.flatten(F.array(*map(of, sorted(sizes))))).alias("run")).select("id", "run.*")
+    blocks, found = max(1, -(-sum(sizes.values()) // settings.block_rows)), None
+    for block in range(blocks):
+        part = short.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
+        hits = placed.join(F.broadcast(part), ["n", "seed"])
+        found = hits if found is None else found.unionByName(hits)
+    return found.select(
+        "id", "item", F.col("at").alias("shift"), F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("end"),
+        F.lit(1.0).alias("agree")).distinct()
 
 
 def overlaps(documents: DataFrame, items: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id",
              text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """``id, item, shift, start, end, agree``: word ranges of documents that agree with an item at one shift.
 
-    ``agree`` is the highest share of equal words around one hit; rows with one id count as one document.
+    ``agree`` is the highest share of equal words around one hit, 1 for runs that agree word for word without
+    what is around them; rows with one id count as one document.
     """
     test = items.where(F.col(item_col).isNotNull()).select(
         F.col(item_col).cast("long").alias("item"), word_hashes(F.col(item_text)).alias("words"))
@@ -88,11 +116,14 @@ def overlaps(documents: DataFrame, items: DataFrame, settings: Settings = Settin
     # the explodes out of generated code, and every position would then copy the words of its document.
     share = F.col("equal") / (F.col("left") + F.col("right"))
     good = share >= settings.agree
-    return found.groupBy("id", "item", "shift").agg(
-        F.min(F.when(good, F.col("at") - F.col("left"))).alias("start"),
-        F.max(F.when(good, F.col("at") + F.col("right"))).alias("end"),
-        F.max(share).alias("agree"),
-    ).where(F.col("agree") >= settings.agree).withColumnRenamed("id", id_col)
+    end = F.col("at") + F.col("right")
+    long = found.groupBy("id", "item", "shift").agg(
+        F.coalesce(F.min(F.when(good, F.col("at") - F.col("left"))), F.min(F.when(F.col("same"), F.col("at")))).alias("start"),
+        F.coalesce(F.max(F.when(good, end)), F.max(F.when(F.col("same"), F.col("at") + settings.span))).alias("end"),
+        F.coalesce(F.max(F.when(good, share)), F.max(F.when(F.col("same"), 1.0))).alias("agree"),
+    ).where("agree IS NOT NULL")
+    short = _short_overlaps(ours, test, settings)
+    return (long if short is None else long.unionByName(short)).withColumnRenamed("id", id_col)
 
 
 def flagged(documents: DataFrame, items: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id",
