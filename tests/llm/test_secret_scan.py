@@ -53,3 +53,12 @@ def test_query_against_model(spark, sf_dir):
         assert r["spans"] == brute.span_text(every)
         assert r["base_sha256"] == brute.sha(brute.span_text(brute.base_secrets(docs[r["doc_id"]] or "")))
     assert any(r["n_assign"] for r in got)
+
+
+def test_repeats_inside_a_key_and_lower_case_keys(spark):
+    ssh = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZWQyNTUxOQ"
+    texts = [ssh, "-" * 30 + "Zx9Qw3Er7Ty1Ui5Op2As8Df4Gh6Jk0", "k3m9k3q7z1w8x2m9v4q7", "xxxxxxxx-0000-xxxxxxxx-1111", "internationalizationsx"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: (r["spans"], r["n_entropy"]) for r in secret_scan.report(df).collect()}
+    assert {i: n > 0 for i, (_, n) in out.items()} == {0: True, 1: True, 2: True, 3: False, 4: False}
+    assert all(out[i][0] == brute.span_text(brute.all_secrets(t, secret_scan.Settings())) for i, t in enumerate(texts))

@@ -32,7 +32,7 @@ ALLOWED = (
     r"^[0-9_/=+-]+$",  # numbers, dates, rulers
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUIDs
     r"^([A-Za-z]+|[0-9]{1,4})([-_/]([A-Za-z]+|[0-9]{1,4}))+/*$",  # paths, slugs, dated names
-    r"(.)\1{7}",  # placeholders: one character again and again
+    r"^[-_/=+]*([A-Za-z0-9])\1{3,}([-_/=+]+([A-Za-z0-9])\3{3,})*[-_/=+]*$",  # placeholders: parts of one character again and again
 )
 UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 
@@ -53,6 +53,7 @@ class Settings:
     classes: tuple[CharacterClass, ...] = (
         CharacterClass("hex", DIGITS + "abcdef" + "ABCDEF", r"[0-9a-fA-F]{20,}", 3.0),
         CharacterClass("upper", DIGITS + UPPER, r"[0-9A-Z]{20,}", 3.5),
+        CharacterClass("lower", DIGITS + LOWER, r"(?=[a-z]*[0-9])[0-9a-z]{20,}", 3.5),
         CharacterClass("base64", DIGITS + UPPER + LOWER + "+/_=-", CANDIDATE, 3.8),
     )
     allowed: tuple[str, ...] = field(default=ALLOWED)
