@@ -1,0 +1,131 @@
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from tributary.llm import token_alignment as alignment
+from tributary.llm.common import table
+from tributary.llm.queries import op13_token_alignment
+
+HARD = [
+    None, "", " ", "a", "  two  blanks ", "tabs\tand\nlines\r\n", "ü 🙂 漢字 ﬁ é é", "low▁line", "<|endoftext|> <s> </s> <unk> <0x41>",
+    "nul \x00 here", "﻿mark", "x" * 300, "1234567890" * 30, "word " * 500, "naïve façade", " ", "🙂" * 50, " lead", "end ",
+]
+
+
+@pytest.fixture(scope="module")
+def plain():
+    """Tokens of both sides with their bytes, by the libraries the task names."""
+    a_side = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a_side.encode_special_tokens = True
+    b_side = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    # The byte that each sign of a byte-level entry stands for.
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in shown}
+    byte_of |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+
+    def tokens(text):
+        if not text:
+            return [], []
+        a = [(i, bytes(byte_of[c] for c in a_side.id_to_token(i))) for i in a_side.encode(" " + text, add_special_tokens=False).ids]
+        b = []
+        for i in b_side.encode(text):
+            piece = b_side.id_to_piece(i)
+            b.append((i, bytes([int(piece[3:5], 16)]) if b_side.is_byte(i) else piece.replace("▁", " ").encode()))
+        raw = (" " + text).encode()
+        return (a, b) if b"".join(p for _, p in a) == raw == b"".join(p for _, p in b) else ([], [])
+
+    return tokens
+
+
+def ends(tokens):
+    at, found = 0, []
+    for _, piece in tokens:
+        at += len(piece)
+        found.append(at)
+    return found
+
+
+def split(tokens, common):
+    """Ids up to each common end."""
+    groups, group = [], []
+    for (i, _), end in zip(tokens, ends(tokens)):
+        group.append(str(i))
+        if end in common:
+            groups.append(group)
+            group = []
+    return groups
+
+
+def model_of(texts, plain):
+    """The report by comparing all token ends of a text."""
+    tokens = [plain(t) for t in texts]
+    links = []
+    for a, b in tokens:
+        where = dict(zip(ends(b), (i for i, _ in b)))
+        links.append([(i, where[e]) for (i, _), e in zip(a, ends(a)) if e in where])
+    counts = Counter(pair for found in links for pair in found)
+    highest = defaultdict(int)
+    for (_, b), n in counts.items():
+        highest[b] = max(highest[b], n)
+    out = []
+    for (a, b), found in zip(tokens, links):
+        common, groups = set(ends(a)) & set(ends(b)), []
+        for left, right in zip(split(a, common), split(b, common), strict=True):
+            groups.append(f"{','.join(left)}|{','.join(right)}")
+        out.append((
+            len(a), len(b), len(groups), len(found), sum(counts[p] == highest[p[1]] for p in found), sum(counts[p] for p in found),
+            hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "",
+        ))
+    return out
+
+
+COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+@pytest.mark.parametrize("frequent", [alignment.FREQUENT, 20, 1])
+def test_hard_texts(spark, plain, frequent):
+    texts = HARD + ["word word", "a", HARD[6]]
+    rows = [(i, t, "x", -1) for i, t in enumerate(texts)] + [(None, "a word", "y", 0), (3, "a", "x", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, groups string, row long").repartition(4)
+    got = sorted((tuple(r[c] for c in ["doc_id", *COLUMNS]) for r in alignment.report(df, frequent=frequent).collect()), key=str)
+    want = [(r[0], *m) for r, m in zip(rows, model_of([r[1] for r in rows], plain))]
+    assert got == sorted(want, key=str)
+    assert sum(w[1] == 0 for w in want) >= 3 and sum(w[5] < w[4] for w in want) > 3
+
+
+def test_empty_table(spark):
+    assert alignment.report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_cuts_are_the_shared_ends():
+    draw = random.Random(4)
+    for _ in range(2000):
+        total = draw.randrange(1, 60)
+        a, b = (sorted({total, *draw.choices(range(1, total + 1), k=draw.randrange(0, 40))}) for _ in "ab")
+        want = sorted(set(a) & set(b))
+        assert alignment.cuts(a, b) == [(a.index(e) + 1, b.index(e) + 1) for e in want]
+    assert alignment.cuts([], []) == []
+    # Neither a long text without cuts nor one of cuts only takes long.
+    n = 200_000
+    assert alignment.cuts(list(range(1, 2 * n, 2)) + [2 * n], list(range(2, 2 * n + 1, 2))) == [(n + 1, n)]
+    assert len(alignment.cuts(list(range(n)), list(range(n)))) == n
+
+
+def test_groups_spell_the_text(spark, plain):
+    df = spark.createDataFrame(list(enumerate(HARD)), "doc_id long, text string")
+    for r in alignment.aligned(df).collect():
+        a, b = plain(HARD[r["doc_id"]])
+        assert [i for g in r["groups"] for i in g["a"]] == [i for i, _ in a]
+        assert [i for g in r["groups"] for i in g["b"]] == [i for i, _ in b]
+
+
+def test_query_against_model(spark, sf_dir, plain):
+    docs = table(spark, sf_dir, "documents").collect()
+    want = {r["doc_id"]: m for r, m in zip(docs, model_of([r["text"] for r in docs], plain))}
+    got = {r["doc_id"]: tuple(r[c] for c in COLUMNS) for r in op13_token_alignment(spark, sf_dir).collect()}
+    assert got == want

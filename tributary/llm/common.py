@@ -27,3 +27,10 @@ def let(value: Column, body) -> Column:
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def vocabulary_path(name: str) -> str:
+    """Place of a public vocabulary file, the same on every machine that has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

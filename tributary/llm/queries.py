@@ -4,7 +4,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import decontaminate, html_extract, language_id, packing, secret_scan, simhash, spotsigs, substring_dedup, subword_lm, warc
+from tributary.llm import (
+    decontaminate, html_extract, language_id, packing, pii, secret_scan, simhash, spotsigs, substring_dedup, subword_lm,
+    token_alignment, warc, whitening,
+)
 from tributary.llm.common import table
 
 
@@ -48,6 +51,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spotsigs": op1_spotsigs,
     "op2_secret_scan": op2_secret_scan,
@@ -59,6 +74,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_pii": op11_pii,
+    "op12_whitening": op12_whitening,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
