@@ -2,8 +2,8 @@
 
 A byte offset where a token of A and a token of B both end is a cut. The cuts of a text are found by divide
 and conquer: within an interval of tokens a common end near the middle is looked up by bisection, outwards from
-the middle of the side with fewer tokens; both halves follow. An interval without a cut inside is one group.
-Intervals wait on a stack, so deep texts need no deep recursion.
+the middle of the side with fewer tokens; both halves follow. An interval without a cut inside is one group. The
+intervals of many texts are halved together, one place looked up in each at a time.
 
 Tokens are never empty, so exactly one token of A and one of B end at a cut: a group has one link, between its
 last tokens. How often an id pair is linked counts over all rows. A row takes the counts of its links from a
@@ -18,13 +18,14 @@ as often as they occur; null ids pass through; other columns are ignored.
 
 import base64
 import functools
-from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.layout import shared_folder
@@ -46,132 +47,181 @@ class Vocabularies:
         return self.ranks or vocabulary_path("byte_bpe_50k.tiktoken"), self.pieces or vocabulary_path("piece_bpe_32k.model")
 
 
-@functools.cache
-def tokenizers(ranks: str, pieces: str):
-    """``(ids of A, ids of B, lengths of A, lengths of B)`` of a text; None where they do not spell it."""
-    import public_tokenizers
-    import sentencepiece
-    import tiktoken
-
-    with open(ranks, "rb") as lines:
-        known = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
-    byte_level = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
-    model = sentencepiece.SentencePieceProcessor(model_file=pieces)
-    spelled = [
-        bytes([int(model.id_to_piece(i)[3:-1], 16)]) if model.is_byte(i)
-        else model.id_to_piece(i).replace("▁", " ").encode()
-        for i in range(model.get_piece_size())
-    ]
-    lengths_a = np.zeros(max(known.values()) + 1, "i8")
-    for piece, rank in known.items():
-        lengths_a[rank] = len(piece)
-    lengths_b = np.array([len(piece) for piece in spelled], "i8")
-
-    def encode(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+class Encoder:
+    """Ids of both sides of a text, and how many bytes each id stands for."""
+
+    def __init__(self, ranks: str, pieces: str):
+        import public_tokenizers
+        import sentencepiece
+        import tiktoken
+
+        with open(ranks, "rb") as lines:
+            known = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
+        self.byte_level = tiktoken.Encoding(
+            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
+        self.model = model = sentencepiece.SentencePieceProcessor(model_file=pieces)
+        self.spelled = [
+            bytes([int(model.id_to_piece(i)[3:-1], 16)]) if model.is_byte(i)
+            else model.id_to_piece(i).replace("▁", " ").encode()
+            for i in range(model.get_piece_size())
+        ]
+        self.lengths_a = np.zeros(max(known.values()) + 1, "i8")
+        for piece, rank in known.items():
+            self.lengths_a[rank] = len(piece)
+        self.lengths_b = np.array([len(piece) for piece in self.spelled], "i8")
+
+    def __call__(self, text: str | None) -> tuple[list[int], list[int]]:
+        """Nothing on either side for texts that are not spelled by both."""
+        if not text:
+            return [], []
         whole = " " + text
         raw = whole.encode()
-        a = byte_level.encode_ordinary(whole)
-        b = model.encode(text)
-        if byte_level.decode_bytes(a) != raw or b"".join(map(spelled.__getitem__, b)) != raw:
-            return None
-        a, b = np.array(a, "i4"), np.array(b, "i4")
-        return a, b, np.cumsum(lengths_a[a]), np.cumsum(lengths_b[b])
-
-    return encode
-
-
-def _shared_end(ends: list[int], low: int, high: int, others: list[int], from_: int, to: int) -> tuple[int, int] | None:
-    """Positions of an equal entry in ``ends[low:high]`` and ``others[from_:to]``, looked for outwards from the middle."""
-    middle = (low + high) // 2
-    for step in range(high - low + 1):
-        for at in (middle + step, middle - step):
-            if low <= at < high:
-                found = bisect_left(others, ends[at], from_, to)
-                if found < to and others[found] == ends[at]:
-                    return at, found
-    return None
-
-
-def cuts(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int]]:
-    """How many tokens of A and of B lie before each cut, ascending; the last cut is the end of the text."""
-    found = []
-    waiting = [(0, len(ends_a), 0, len(ends_b))] if ends_a else []
-    while waiting:
-        a0, a1, b0, b1 = waiting.pop()
-        # The last end of an interval is a cut already.
-        if a1 - a0 == 1 or b1 - b0 == 1:
-            inner = None
-        elif a1 - a0 <= b1 - b0:
-            inner = _shared_end(ends_a, a0, a1 - 1, ends_b, b0, b1 - 1)
-        else:
-            inner = _shared_end(ends_b, b0, b1 - 1, ends_a, a0, a1 - 1)
-            inner = inner and inner[::-1]
-        if inner is None:
-            found.append((a1, b1))
-        else:
-            a, b = inner[0] + 1, inner[1] + 1
-            waiting += (a, a1, b, b1), (a0, a, b0, b)
-    return found
-
-
-def _nested(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.Array:
-    """(ids of A, ids of B, cuts) of some rows as an array of groups."""
-
-    def side(k: int) -> pa.Array:
-        offsets, before = [np.zeros(1, "i4")], 0
-        for row in rows:
-            offsets.append((row[2][:, k] + before).astype("i4"))
-            before += len(row[k])
-        return pa.ListArray.from_arrays(
-            pa.array(np.concatenate(offsets)), pa.array(np.concatenate([np.zeros(0, "i4"), *(r[k] for r in rows)])))
-
-    groups = pa.StructArray.from_arrays([side(0), side(1)], ["a", "b"])
-    sizes = np.cumsum([0] + [len(cut) for *_, cut in rows]).astype("i4")
-    return pa.ListArray.from_arrays(pa.array(sizes), groups)
+        a, b = self.byte_level.encode_ordinary(whole), self.model.encode(text)
+        same = self.byte_level.decode_bytes(a) == raw and b"".join(map(self.spelled.__getitem__, b)) == raw
+        return (a, b) if same else ([], [])
 
 
-def aligned(documents: DataFrame, vocabularies: Vocabularies = Vocabularies(), id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
-    """``id, groups``: for every input row its groups of ids of A and B, in the order of the text."""
-    paths = vocabularies.paths()
+@functools.cache
+def encoder(ranks: str, pieces: str) -> Encoder:
+    return Encoder(ranks, pieces)
+
+
+@dataclass(frozen=True)
+class Alignment:
+    """Some texts: the ids of all of them in a row, and where texts and groups end among them."""
+
+    a: np.ndarray
+    b: np.ndarray
+    text_a: np.ndarray  # ids before each text, and after the last
+    text_b: np.ndarray
+    cut_a: np.ndarray  # ids up to each cut
+    cut_b: np.ndarray
+    text_cut: np.ndarray  # cuts before each text, and after the last
+
+
+def align(pairs: list[tuple[list[int], list[int]]], encode: Encoder) -> Alignment:
+    def flat(k: int) -> tuple[np.ndarray, np.ndarray]:
+        every = np.fromiter(chain.from_iterable(p[k] for p in pairs), "i4")
+        return every, np.cumsum([0, *(len(p[k]) for p in pairs)])
+
+    (a, text_a), (b, text_b) = flat(0), flat(1)
+    # Both sides of a text have the same bytes, so one count of bytes runs through all texts.
+    cut_a, cut_b = cuts(np.cumsum(encode.lengths_a[a]), np.cumsum(encode.lengths_b[b]), text_a, text_b)
+    return Alignment(a, b, text_a, text_b, cut_a, cut_b, np.searchsorted(cut_a, text_a, "right"))
+
+
+def cuts(ends_a: np.ndarray, ends_b: np.ndarray, text_a: np.ndarray, text_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many ids of A and of B lie before each cut, ascending. Halves all open intervals at a time."""
+    some = np.flatnonzero(np.diff(text_a))
+    # Rows: first id and end of A, first id and end of B, places looked at so far.
+    wait = np.array([text_a[some], text_a[some + 1], text_b[some], text_b[some + 1], np.zeros_like(some)])
+    groups = []
+    while wait.shape[1]:
+        a0, a1, b0, b1, looked = wait
+        on_a = a1 - a0 <= b1 - b0
+        # The last end of an interval is a cut already, so it is not looked up.
+        low, count = np.where(on_a, a0, b0), np.where(on_a, a1 - a0, b1 - b0) - 1
+        whole = looked >= count + (count > 0)
+        if whole.any():
+            groups.append(wait[[1, 3]][:, whole])
+            wait, on_a, low, count = wait[:, ~whole], on_a[~whole], low[~whole], count[~whole]
+            a0, a1, b0, b1, looked = wait
+        # The middle, one behind it, one before it, two behind it, ...
+        at = low + count // 2 + np.where(looked % 2 == 1, (looked + 1) // 2, -(looked // 2))
+        inside = (at >= low) & (at < low + count)
+        at = np.where(inside, at, low)
+        other = np.empty_like(at)
+        same = np.empty(len(at), bool)
+        for side, ends, others, first, end in ((on_a, ends_a, ends_b, b0, b1), (~on_a, ends_b, ends_a, a0, a1)):
+            wanted = ends[at[side]]
+            found = np.searchsorted(others, wanted)
+            other[side] = found
+            same[side] = (others[np.minimum(found, end[side] - 1)] == wanted) & (found >= first[side]) & (found < end[side] - 1)
+        same &= inside
+        missed = wait[:, ~same]
+        missed[4] += 1
+        half_a, half_b = np.where(on_a, at, other)[same] + 1, np.where(on_a, other, at)[same] + 1
+        a0, a1, b0, b1, _ = wait[:, same]
+        none = np.zeros_like(half_a)
+        wait = np.concatenate([[a0, half_a, b0, half_b, none], [half_a, a1, half_b, b1, none], missed], axis=1)
+    cut_a, cut_b = np.concatenate([np.zeros((2, 0), "i8"), *groups], axis=1)
+    order = np.argsort(cut_a)
+    return cut_a[order], cut_b[order]
+
+
+def _each(documents: DataFrame, vocabularies: Vocabularies, id_col: str, text_col: str, columns: str, arrays) -> DataFrame:
+    """``id`` and what ``arrays(alignment)`` gives, for every row."""
+    paths, names = vocabularies.paths(), [c.split()[0] for c in columns.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizers(*paths)
-        none = np.zeros(0, "i4"), np.zeros(0, "i4"), np.zeros((0, 2), "i8")
+        encode = encoder(*paths)
         for batch in batches:
-            rows, first, size = [], 0, 0
-
-            def flush(upto: int) -> pa.RecordBatch:
-                return pa.RecordBatch.from_arrays([batch.column(0)[first:upto], _nested(rows)], [id_col, "groups"])
-
-            for number, text in enumerate(batch.column(1)):
-                tokens = encode(text.as_py()) if text.as_py() else None
-                if tokens is None:
-                    rows.append(none)
-                else:
-                    a, b, ends_a, ends_b = tokens
-                    rows.append((a, b, np.array(cuts(ends_a.tolist(), ends_b.tolist()), "i8").reshape(-1, 2)))
-                size += len(rows[-1][0])
-                if size >= TOKENS_AT_ONCE:
-                    yield flush(number + 1)
-                    rows, first, size = [], number + 1, 0
-            if rows:
-                yield flush(batch.num_rows)
+            pairs, first, size = [], 0, 0
+            for number, text in enumerate(batch.column(1), 1):
+                pairs.append(encode(text.as_py()))
+                size += len(pairs[-1][0])
+                if size >= TOKENS_AT_ONCE or number == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0)[first:number], *arrays(align(pairs, encode))], [id_col, *names])
+                    pairs, first, size = [], number, 0
 
     rows = documents.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"`{id_col}` {rows.schema[0].dataType.simpleString()}, groups {GROUPS}")
+    return rows.mapInArrow(run, f"`{id_col}` {rows.schema[0].dataType.simpleString()}, {columns}")
+
+
+def _groups(found: Alignment) -> list[pa.Array]:
+    def side(ids: np.ndarray, cut: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], cut]).astype("i4")), pa.array(ids))
+
+    groups = pa.StructArray.from_arrays([side(found.a, found.cut_a), side(found.b, found.cut_b)], ["a", "b"])
+    return [pa.ListArray.from_arrays(pa.array(found.text_cut.astype("i4")), groups)]
+
+
+def aligned(documents: DataFrame, vocabularies: Vocabularies = Vocabularies(), id_col: str = "doc_id",
+            text_col: str = "text") -> DataFrame:
+    """``id, groups``: for every input row its groups of ids of A and B, in the order of the text."""
+    return _each(documents, vocabularies, id_col, text_col, f"groups {GROUPS}", _groups)
+
+
+def links(found: Alignment) -> pa.Array:
+    """Per text the id pairs whose ends meet, one long each: the id of A in the upper half, that of B in the lower."""
+    pairs = found.a[found.cut_a - 1].astype("i8") << 32 | found.b[found.cut_b - 1]
+    return pa.ListArray.from_arrays(pa.array(found.text_cut.astype("i4")), pa.array(pairs))
+
+
+@functools.cache
+def _written_ids(size_a: int, size_b: int) -> list[str]:
+    """Ids of A, then of B, each followed by its sign within a group and by its sign at the end of one."""
+    return [f"{i}{sign}" for size, last in ((size_a, "|"), (size_b, ";")) for i in range(size) for sign in (",", last)]
+
+
+def digests(found: Alignment, size_a: int, size_b: int) -> list[str]:
+    """Per text the SHA-256 of ``a1,a2|b1;a3|b2,b3``; '' without groups."""
+    size = len(found.a) + len(found.b)
+    codes = np.empty(size, "i8")
+    for ids, cut, other, first, behind in (
+        (found.a, found.cut_a, found.cut_b, 0, False), (found.b, found.cut_b, found.cut_a, 2 * size_a, True),
+    ):
+        lengths = np.diff(cut, prepend=0)
+        # Ids of the other side that are written before: those of earlier groups, for B also of its own.
+        shift = other if behind else np.concatenate([[0], other[:-1]])
+        code = first + 2 * ids.astype("i8")
+        code[cut - 1] += 1
+        codes[np.arange(len(ids)) + np.repeat(shift[:len(lengths)], lengths)] = code
+    shown = list(map(_written_ids(size_a, size_b).__getitem__, codes.tolist()))
+    bounds = (found.text_a + found.text_b).tolist()
+    return [sha256("".join(shown[s:e])[:-1].encode()).hexdigest() if e > s else "" for s, e in zip(bounds, bounds[1:])]
+
 
+_SUMMARY = "n_a long, n_b long, n_groups long, links array<long>, groups_sha256 string"
 
-def links(groups: Column) -> Column:
-    """The id pairs whose ends meet, one long each: the id of A in the upper half, that of B in the lower."""
-    return F.transform(groups, lambda g: F.shiftleft(F.element_at(g["a"], -1).cast("long"), 32).bitwiseOR(
-        F.element_at(g["b"], -1).cast("long")))
 
+def _summary(size_a: int, size_b: int):
+    def arrays(found: Alignment) -> list[pa.Array]:
+        counts = [pa.array(np.diff(at).astype("i8")) for at in (found.text_a, found.text_b, found.text_cut)]
+        return [*counts, links(found), pa.array(digests(found, size_a, size_b), pa.string())]
 
-def group_text(groups: Column) -> Column:
-    """``a1,a2|b1;a3|b2,b3``."""
-    return F.array_join(F.transform(groups, lambda g: F.concat(
-        F.array_join(g["a"].cast("array<string>"), ","), F.lit("|"), F.array_join(g["b"].cast("array<string>"), ","))), ";")
+    return arrays
 
 
 def pair_counts(found: DataFrame, link_col: str = "links") -> DataFrame:
@@ -202,12 +252,9 @@ def report(documents: DataFrame, vocabularies: Vocabularies = Vocabularies(), fr
     """One row per document: sizes, a digest of the groups, and what its links count over all documents."""
     numbered = documents.select("text", F.struct(
         F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row")).alias("key"))
-    side = lambda k: F.aggregate("groups", F.lit(0).cast("long"), lambda n, g: n + F.size(g[k]))
-    found = aligned(numbered, vocabularies, "key").select(
-        "key.doc_id", "key.row", side("a").alias("n_a"), side("b").alias("n_b"),
-        F.size("groups").cast("long").alias("n_groups"), links(F.col("groups")).alias("links"),
-        F.when(F.size("groups") > 0, F.sha2(group_text(F.col("groups")), 256)).otherwise("").alias("groups_sha256"),
-    )
+    encode = encoder(*vocabularies.paths())
+    summary = _summary(len(encode.lengths_a), len(encode.lengths_b))
+    found = _each(numbered, vocabularies, "key", "text", _SUMMARY, summary).select("key.doc_id", "key.row", *(c.split()[0] for c in _SUMMARY.split(", ")))
     stored = written(found, f"{shared_folder(documents.sparkSession)}/aligned")
     sums = link_sums(stored, frequent=frequent)
     zero = F.lit(0).cast("long")
