@@ -213,13 +213,14 @@ def digests(found: Alignment, size_a: int, size_b: int) -> list[str]:
     return [sha256("".join(shown[s:e])[:-1].encode()).hexdigest() if e > s else "" for s, e in zip(bounds, bounds[1:])]
 
 
-_SUMMARY = "n_a long, n_b long, n_groups long, links array<long>, groups_sha256 string"
+_SUMMARY = "n_a long, n_b long, n_groups long, n_links long, links array<long>, groups_sha256 string"
 
 
 def _summary(size_a: int, size_b: int):
     def arrays(found: Alignment) -> list[pa.Array]:
         counts = [pa.array(np.diff(at).astype("i8")) for at in (found.text_a, found.text_b, found.text_cut)]
-        return [*counts, links(found), pa.array(digests(found, size_a, size_b), pa.string())]
+        pairs = links(found)
+        return [*counts, pairs.value_lengths().cast(pa.int64()), pairs, pa.array(digests(found, size_a, size_b), pa.string())]
 
     return arrays
 
@@ -259,5 +260,5 @@ def report(documents: DataFrame, vocabularies: Vocabularies = Vocabularies(), fr
     sums = link_sums(stored, frequent=frequent)
     zero = F.lit(0).cast("long")
     return stored.join(sums, "row", "left").select(
-        "doc_id", "n_a", "n_b", "n_groups", F.size("links").cast("long").alias("n_links"),
+        "doc_id", "n_a", "n_b", "n_groups", "n_links",
         F.coalesce("n_best", zero).alias("n_best"), F.coalesce("count_sum", zero).alias("count_sum"), "groups_sha256")
