@@ -334,6 +334,7 @@ loaded{r} AS (
     stored_columns = ", ".join(c for c in (*SHOWN, "file_no") if c != "file_name")
     return {
         "bronze_documents": numbered,
+        "bronze_array_split": numbered,
         "bronze_lines": numbered,
         "bronze_load_history": """
 SELECT 'raw_orders' AS table_name, file_no,

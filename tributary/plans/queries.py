@@ -5,6 +5,7 @@ results can be compared.
 """
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +19,7 @@ from tributary.operators.normalize import normalize
 from tributary.plans import bronze, silver
 from tributary.schemas import STG_ORDERS
 from tributary.sources import order_documents as source
-from tributary.sources.json_files import read_documents
+from tributary.sources.json_files import documents_of_pieces, file_rows, read_documents, with_file_names, write_pieces
 from tributary.sources.tables import list_files, publish, read_batches
 from tributary.streaming.changes import change_stream, has_data
 from tributary.streaming.ingest import pipe_status, refresh_pipe
@@ -99,6 +100,30 @@ def bronze_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _numbered(read_documents(spark, stage, "document"))
 
 
+@contextmanager
+def _blocks_of(spark: SparkSession, size: int):
+    """Files are read in blocks of at most so many bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(name) for name in names]
+    try:
+        for name in names:
+            spark.conf.set(name, str(size))
+        yield
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+
+
+def bronze_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one array each, read in blocks of a sixteenth of the largest file."""
+    layout, stage = _stage(spark, sf_dir)
+    largest = list_files(spark, stage).agg(F.max("size")).first()[0] or 0
+    with _blocks_of(spark, max(largest // 16, 1)):
+        files = with_file_names(file_rows(spark.read, stage, "array"), stage)
+        pieces = write_pieces(files, f"{layout.base}/staging")
+    return _numbered(documents_of_pieces(pieces, f"{layout.base}/staging"))
+
+
 def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout, stage = _stage(spark, sf_dir, array=False)
     return _numbered(read_documents(spark, stage, "lines", f"{layout.base}/staging"))
@@ -459,7 +484,7 @@ def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        bronze_documents, bronze_lines, bronze_lines_loaded, bronze_items, bronze_load_history,
+        bronze_documents, bronze_array_split, bronze_lines, bronze_lines_loaded, bronze_items, bronze_load_history,
         bronze_load_history_lines, bronze_pending_files, bronze_pipe_status, bronze_late_files,
         bronze_shapes, stage_listing, table_definitions, stream_append_only, stream_has_data,
         silver_typed_fields, silver_reject, silver_dead_letter, silver_reason_counts, silver_accept,
