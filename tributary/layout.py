@@ -50,6 +50,14 @@ class Layout:
     def consumed(self) -> str:
         return f"{self.layer('silver')}/consumed"
 
+    @property
+    def newest_load(self) -> str:
+        return f"{self.layer('bronze')}/newest_load"
+
+    @property
+    def newest_taken(self) -> str:
+        return f"{self.layer('silver')}/newest_taken"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.base}/{self.env}/checkpoints/{name}"
 

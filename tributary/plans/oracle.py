@@ -388,6 +388,8 @@ FROM (VALUES ('empty'), ('loaded'), ('stepped')) v(phase),
 SELECT file_name, file_row_number, inventory_given, {typed_columns} FROM typed1""",
         "silver_reject": f"{one} {keyed} FROM typed1 WHERE {REJECTS}",
         "silver_dead_letter": f"{one} {keyed}, {REASON} AS error_reason FROM typed1 WHERE {REJECTS}",
+        "insert_defaults": f"""{one}
+{keyed}, {REASON} AS error_reason, true AS has_time, CAST(1 AS BIGINT) AS batch_id FROM typed1 WHERE {REJECTS}""",
         "silver_reason_counts": f"""{one}
 SELECT {REASON} AS error_reason, count(*) AS documents FROM typed1 WHERE {REJECTS} GROUP BY 1""",
         "silver_accept": f"{one} {keyed} FROM typed1 WHERE {ACCEPTS}",

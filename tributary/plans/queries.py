@@ -17,10 +17,10 @@ from tributary.operators import rules
 from tributary.operators.merge import RepeatedKeyError, fold_scd1, merge_scd1
 from tributary.operators.normalize import normalize
 from tributary.plans import bronze, silver
-from tributary.schemas import STG_ORDERS
+from tributary.schemas import DEAD_LETTER, STG_ORDERS, columns_ddl
 from tributary.sources import order_documents as source
 from tributary.sources.json_files import documents_of_pieces, file_rows, read_documents, with_file_names, write_pieces
-from tributary.sources.tables import list_files, publish, read_batches
+from tributary.sources.tables import create_batched, insert_batch, list_files, publish, read_batches
 from tributary.streaming.changes import change_stream, has_data
 from tributary.streaming.ingest import pipe_status, refresh_pipe
 from tributary.streaming.task import call_step, resume_task
@@ -329,6 +329,23 @@ def silver_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def insert_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters inserted without their time into a catalog table, one batch, then a batch of that number again."""
+    layout = Layout(shared_folder(spark), env=f"ins{uuid.uuid4().hex[:12]}")
+    name = f"{layout.create_databases(spark)[1]}.dead_letter_batches"
+    create_batched(spark, name, columns_ddl("dead_letter", DEAD_LETTER), f"{layout.layer('silver')}/dead_letter_batches")
+    letters = silver.dead_letters(silver.routed_rows(_raw(spark, sf_dir))).drop("rejected_at")
+    insert_batch(letters, name, 1)
+    insert_batch(letters.limit(1), name, 1)
+    return _keyed(
+        spark.table(name).withColumns({
+            "order_id": F.variant_get("raw_data", "$.order_id", "string"),
+            "has_time": F.col("rejected_at").isNotNull(),
+        }),
+        "order_id", "error_reason", "has_time", "batch_id",
+    )
+
+
 def silver_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = _classified(spark, sf_dir, "route", "error_reason").where(F.col("route") == rules.REJECTED)
     return rejected.groupBy("error_reason").agg(F.count("*").alias("documents"))
@@ -487,7 +504,7 @@ QUERIES = {
         bronze_documents, bronze_array_split, bronze_lines, bronze_lines_loaded, bronze_items, bronze_load_history,
         bronze_load_history_lines, bronze_pending_files, bronze_pipe_status, bronze_late_files,
         bronze_shapes, stage_listing, table_definitions, stream_append_only, stream_has_data,
-        silver_typed_fields, silver_reject, silver_dead_letter, silver_reason_counts, silver_accept,
+        silver_typed_fields, silver_reject, silver_dead_letter, insert_defaults, silver_reason_counts, silver_accept,
         silver_unrouted, silver_route_counts, silver_tolerant, silver_order_date, silver_orders,
         merge_insert, merge_update, merge_fold, merge_duplicate_latest, merge_duplicate_reference,
         silver_step_counts, silver_row_accounting, silver_failed_step, silver_scheduled_task, stored_orders,

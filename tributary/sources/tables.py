@@ -4,6 +4,8 @@ A batch is written aside and renamed into place, so readers and streams see all
 of it or nothing, and a repeated batch leaves the first result alone.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,6 +62,44 @@ def batch_numbers(spark: SparkSession, table: str) -> list[int]:
     return sorted(int(name.split("=")[1]) for name in names if "=" in name)
 
 
+#: The last load that brought rows, or of which rows were taken, and how many of its rows.
+MARK = T.StructType([T.StructField("load", T.LongType()), T.StructField("rows", T.LongType())])
+
+
+def put_mark(spark: SparkSession, table: str, number: int, load: int, rows: int) -> None:
+    """Leave a mark under a number, once; all but the last two marks go."""
+    publish(spark.createDataFrame([(load, rows)], MARK).coalesce(1), table, f"batch_id={number}")
+    for old in batch_numbers(spark, table)[:-2]:
+        remove(spark, f"{table}/batch_id={old}")
+
+
+def last_mark(spark: SparkSession, table: str, before: int | None = None) -> tuple[int, int] | None:
+    """The newest mark, or the newest below a number; there are two at most, whatever the history."""
+    numbers = [n for n in batch_numbers(spark, table) if before is None or n < before]
+    if not numbers:
+        return None
+    return tuple(spark.read.schema(MARK).parquet(f"{table}/batch_id={numbers[-1]}").first())
+
+
+def create_batched(spark: SparkSession, name: str, columns: str, path: str) -> None:
+    """A catalog table, with the defaults of its columns, that takes one batch after the other."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, batch_id BIGINT) USING parquet"
+              f" PARTITIONED BY (batch_id) LOCATION '{path}'")
+
+
+def insert_batch(rows: DataFrame, name: str, batch_id: int) -> None:
+    """Insert a batch into such a table. Columns that the rows leave out get their defaults; a batch that is
+    there stays as it is. Spark's own commit makes the batch visible as a whole, with its partition."""
+    spark, view = rows.sparkSession, f"batch_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{c}`" for c in rows.columns)
+    rows.createOrReplaceTempView(view)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (batch_id = {int(batch_id)}) IF NOT EXISTS ({columns})"
+                  f" SELECT {columns} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _hadoop(spark, path)
     fs.delete(hadoop_path, True)
