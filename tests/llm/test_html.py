@@ -1,3 +1,4 @@
+import time
 import re
 from html import unescape
 
@@ -109,3 +110,15 @@ def test_query_against_the_markup(spark, sf_dir):
         blocks = [" ".join(unescape(re.sub(r"<[^>]+>", "", b.replace("<br>", " "))).split()) for b in re.split(r"</?(?:p|h1|h2|li|ul)>", inner)]
         same += r["text"] == "\n".join(b for b in blocks if b)
     assert same >= 0.99 * len(out)
+
+
+def test_unclosed_tags_take_linear_time():
+    start = time.monotonic()
+    for tail in ("<img " + 'a="" ' * 10_000, "<img " + "a='x' " * 10_000, "<a " * 50_000, '<a b="' * 20_000, "<a b=" * 20_000,
+                 "<p " + "= " * 50_000, '<p a="' + "x" * 100_000, "</p " + 'q"' * 20_001):
+        for page in (tail, "<p>some text here</p>" + tail, tail + "<p>b</p>"):
+            list(events(page))
+    assert time.monotonic() - start < 20
+    # A quote that is never closed does not swallow its tag.
+    assert [e[:2] for e in events('<p a="x>some</p>')] == [("open", "p"), ("text", "some"), ("close", "p")]
+    assert [e[:2] for e in events('<p a="x>y">some')] == [("open", "p"), ("text", "some")]

@@ -21,7 +21,8 @@ def test_hard_texts(spark):
         want.append((i, *(sum(s[1] == k for s in base) for k in range(3)), brute.sha(brute.span_text(base)),
                      brute.span_text(every), len(every) - len(base)))
     assert got == sorted(want, key=str)
-    assert any(w[-1] for w in want)
+    # Rows of every kind are among them, whatever the given tables hold.
+    assert all(any(w[k] for w in want) for k in (1, 2, 3, -1))
 
 
 def test_redaction_leaves_nothing_and_keeps_the_rest(spark):
@@ -52,7 +53,6 @@ def test_query_against_model(spark, sf_dir):
         every = brute.all_secrets(docs[r["doc_id"]] or "", secret_scan.Settings())
         assert r["spans"] == brute.span_text(every)
         assert r["base_sha256"] == brute.sha(brute.span_text(brute.base_secrets(docs[r["doc_id"]] or "")))
-    assert any(r["n_assign"] for r in got)
 
 
 def test_repeats_inside_a_key_and_lower_case_keys(spark):

@@ -86,7 +86,9 @@ def test_edge_cases(spark):
     assert kept.columns == df.columns
     assert sorted((str(r[0]), r[1]) for r in kept.select("doc_id", "text").collect()) == sorted(
         [("0", None), ("3", "One"), ("5", "one two three"), ("6", texts[6]), ("7", texts[7]), ("8", long),
-         ("None", "one"), ("None", "alone without id")])
+         ("None", "alone without id")])
+    again = spark.createDataFrame([(1, "w a b c d"), (2, "w a b c d"), (2, "v e f g h"), (3, "v e f g h"), (None, "v e f g h")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in simhash.deduplicated(again).collect()) == [(1, "w a b c d"), (2, "v e f g h")]
     assert simhash.report(df.limit(0)).count() == simhash.deduplicated(df.limit(0)).count() == 0
 
 

@@ -1,3 +1,4 @@
+import time
 import random
 
 import numpy as np
@@ -109,3 +110,12 @@ def test_common_passage_is_one_body_whatever_its_neighbours(spark):
     assert bodies(1000) >= 30
     settings = substring_dedup.Settings(10, 3, 128, 10_000, 5)
     assert sorted(map(tuple, substring_dedup.report(df, settings).collect()), key=str) == model(rows, 10)
+
+
+def test_many_repeated_rows(spark):
+    passage = " ".join(f"w{i}" for i in range(300))
+    df = spark.createDataFrame([(1, passage)] + [(2, passage)] * 10_000, "doc_id long, text string").repartition(8)
+    start = time.monotonic()
+    rows = substring_dedup.report(df).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    assert sorted(map(tuple, rows)) == [(1, 300, 0, 1), (2, 300, 300, 10_000)]
+    assert time.monotonic() - start < 60

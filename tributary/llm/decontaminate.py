@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.common import written
+
 WORD_GAP = r"[^\p{L}\p{N}]+"
 
 
@@ -26,7 +28,7 @@ class Settings:
     masks: tuple[str, ...] = ("111010010111", "110111001011", "101100111101")
     flank: int = 8  # words on either side of the seed that are compared too
     agree: float = 0.8  # share of the compared words that must be equal
-    block_rows: int = 200_000  # seeds sent to every executor at once, 40 bytes each and the words of the items
+    block_rows: int = 200_000  # seeds of the test set, three numbers each, up to which they go to every executor
 
     @property
     def span(self) -> int:
@@ -56,17 +58,27 @@ def seeds(rows: DataFrame, settings: Settings) -> DataFrame:
     return placed.select("*", F.explode(_seeds("words", "at", settings)).alias("seed"))
 
 
-def _compared(settings: Settings) -> list[Column]:
-    """Words compared to the left and right of the start of the seed, and how many of them agree."""
-    left = F.least(F.lit(settings.flank), F.col("at"), F.col("item_at"))
-    right = F.least(
-        F.lit(settings.span + settings.flank), F.size("words") - F.col("at"), F.size("item_words") - F.col("item_at"))
-    pairs = F.zip_with(
-        F.slice("words", F.col("at") - left + 1, left + right),
-        F.slice("item_words", F.col("item_at") - left + 1, left + right), lambda a, b: a == b)
-    same = F.slice("words", F.col("at") + 1, settings.span) == F.slice("item_words", F.col("item_at") + 1, settings.span)
-    return [left.alias("left"), right.alias("right"), F.size(F.filter(pairs, lambda equal: equal)).alias("equal"),
-            same.alias("same")]
+def _compared(settings: Settings) -> Column:
+    """For every hit of one shift: the range around it, the share of equal words there, and whether its span agrees."""
+
+    def of(at: Column) -> Column:
+        item_at = at - F.col("shift")
+        left = F.least(F.lit(settings.flank), at, item_at)
+        right = F.least(F.lit(settings.span + settings.flank), F.size("words") - at, F.size("item_words") - item_at)
+        pairs = F.zip_with(
+            F.slice("words", at - left + 1, left + right), F.slice("item_words", item_at - left + 1, left + right),
+            lambda a, b: a == b)
+        same = F.slice("words", at + 1, settings.span) == F.slice("item_words", item_at + 1, settings.span)
+        return F.struct(
+            at.alias("at"), (at - left).alias("start"), (at + right).alias("end"), same.alias("same"),
+            (F.size(F.filter(pairs, lambda equal: equal)) / (left + right)).alias("share"))
+
+    return F.transform("ats", of)
+
+
+def _sent(test: DataFrame, settings: Settings) -> DataFrame:
+    """Seeds of the test set: sent to every executor up to a number, beyond it joined by one shuffle."""
+    return F.broadcast(test) if test.count() <= settings.block_rows else test
 
 
 def _short_overlaps(ours: DataFrame, test: DataFrame, settings: Settings) -> DataFrame | None:
@@ -81,57 +93,64 @@ def _short_overlaps(ours: DataFrame, test: DataFrame, settings: Settings) -> Dat
         return F.transform(_positions("words", n), lambda i: F.struct(
             F.lit(n).alias("n"), i.alias("at"), F.xxhash64(F.slice("words", i + 1, n)).alias("seed")))
 
-    placed = ours.select("id", F.explode(F.flatten(F.array(*map(of, sorted(sizes))))).alias("run")).select("id", "run.*")
-    blocks, found = max(1, -(-sum(sizes.values()) // settings.block_rows)), None
-    for block in range(blocks):
-        part = short.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
-        hits = placed.join(F.broadcast(part), ["n", "seed"])
-        found = hits if found is None else found.unionByName(hits)
+    placed = ours.select("id", "text_key", F.explode(F.flatten(F.array(*map(of, sorted(sizes))))).alias("run")).select(
+        "id", "text_key", "run.*")
+    found = placed.join(_sent(short, settings), ["n", "seed"])
     return found.select(
-        "id", "item", F.col("at").alias("shift"), F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("end"),
+        "id", "text_key", "item", F.col("at").alias("shift"), F.col("at").alias("start"),
+        (F.col("at") + F.col("n")).alias("end"),
         F.lit(1.0).alias("agree")).distinct()
 
 
 def overlaps(documents: DataFrame, items: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id",
              text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``id, item, shift, start, end, agree``: word ranges of documents that agree with an item at one shift.
+    """``id, text_key, item, shift, start, end, agree``: word ranges of documents that agree with an item at one shift.
 
     ``agree`` is the highest share of equal words around one hit, 1 for runs that agree word for word without
-    what is around them; rows with one id count as one document.
+    what is around them. Rows with one id and text are one document; ``text_key`` is the hash of the text.
+
+    Seeds meet as numbers only. The places at which one document and one item meet with one shift become one row
+    before words are fetched for them, so texts that repeat themselves do not multiply word lists.
     """
     test = items.where(F.col(item_col).isNotNull()).select(
         F.col(item_col).cast("long").alias("item"), word_hashes(F.col(item_text)).alias("words"))
-    test_seeds = seeds(test, settings).select(
-        "item", F.col("words").alias("item_words"), F.col("at").alias("item_at"), "seed")
-    blocks = max(1, -(-test_seeds.count() // settings.block_rows))
-    ours = documents.select(F.col(id_col).alias("id"), word_hashes(F.col(text_col)).alias("words"))
-    placed = seeds(ours, settings)
-    found = None
-    for block in range(blocks):
-        part = test_seeds.where(F.pmod(F.xxhash64("item", "item_at"), F.lit(blocks)) == block)
-        hits = placed.join(F.broadcast(part), "seed").select(
-            "id", "item", "at", (F.col("at") - F.col("item_at")).alias("shift"), *_compared(settings))
-        found = hits if found is None else found.unionByName(hits)
-    # Hits are compared above the join and sorted out below: a comparison inside the join would take it and
-    # the explodes out of generated code, and every position would then copy the words of its document.
-    share = F.col("equal") / (F.col("left") + F.col("right"))
-    good = share >= settings.agree
-    end = F.col("at") + F.col("right")
-    long = found.groupBy("id", "item", "shift").agg(
-        F.coalesce(F.min(F.when(good, F.col("at") - F.col("left"))), F.min(F.when(F.col("same"), F.col("at")))).alias("start"),
-        F.coalesce(F.max(F.when(good, end)), F.max(F.when(F.col("same"), F.col("at") + settings.span))).alias("end"),
-        F.coalesce(F.max(F.when(good, share)), F.max(F.when(F.col("same"), 1.0))).alias("agree"),
-    ).where("agree IS NOT NULL")
+    test_seeds = seeds(test, settings).select("item", F.col("at").alias("item_at"), "seed")
+    ours = documents.select(
+        F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_key"), word_hashes(F.col(text_col)).alias("words"))
+    placed = seeds(ours, settings).select("id", "text_key", "at", "seed")
+    found = placed.join(_sent(test_seeds, settings), "seed").select(
+        "id", "text_key", "item", "at", (F.col("at") - F.col("item_at")).alias("shift"))
+    # Written, since it is small and costly to compute again.
+    shifts = written(found.groupBy("id", "text_key", "item", "shift").agg(F.collect_set("at").alias("ats"))).select(
+        F.col("id").alias("of"), F.col("text_key").alias("of_text"), "item", "shift", "ats")
+    shifts = shifts.join(test.select("item", F.col("words").alias("item_words")), "item")
+    compared = ours.join(shifts, F.col("id").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("of_text")))
+
+    def judged(hits: Column) -> Column:
+        good, same = F.filter(hits, lambda h: h["share"] >= settings.agree), F.filter(hits, lambda h: h["same"])
+        return F.struct(
+            F.coalesce(F.array_min(F.transform(good, lambda h: h["start"])),
+                       F.array_min(F.transform(same, lambda h: h["at"]))).alias("start"),
+            F.coalesce(F.array_max(F.transform(good, lambda h: h["end"])),
+                       F.array_max(F.transform(same, lambda h: h["at"])) + settings.span).alias("end"),
+            F.coalesce(F.array_max(F.transform(good, lambda h: h["share"])),
+                       F.when(F.size(same) > 0, 1.0)).alias("agree"),
+        )
+
+    # An array of one range or none: exploded, so that nothing is computed twice to filter it.
+    ranges = F.filter(F.transform(F.array(_compared(settings)), judged), lambda r: r["agree"].isNotNull())
+    long = compared.select("id", "text_key", "item", "shift", F.explode(ranges).alias("range")).select(
+        "id", "text_key", "item", "shift", "range.*").distinct()
     short = _short_overlaps(ours, test, settings)
     return (long if short is None else long.unionByName(short)).withColumnRenamed("id", id_col)
 
 
 def flagged(documents: DataFrame, items: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
-    """One row per id with an overlap: the items, and the word ranges as ``item:start:end``."""
+    """One row per id and text with an overlap: the items, and the word ranges as ``item:start:end``."""
     found = overlaps(documents, items, settings, id_col, text_col)
     # An id meets each item a few times at most, so what is gathered here is bounded by the test set.
-    return found.groupBy(id_col).agg(
+    return found.groupBy(id_col, "text_key").agg(
         F.array_sort(F.collect_set("item")).alias("items"),
         F.array_join(F.transform(
             F.array_sort(F.collect_set(F.struct("start", "end", "item"))),
@@ -143,17 +162,20 @@ def flagged(documents: DataFrame, items: DataFrame, settings: Settings = Setting
 
 def decontaminated(documents: DataFrame, items: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """The documents, all columns, without those that overlap an item; rows without an id stay."""
-    bad = flagged(documents, items, settings, id_col, text_col).select(F.col(id_col).alias("__bad"))
-    return documents.join(bad, F.col(f"`{id_col}`") == F.col("__bad"), "left_anti")
+    """The documents, all columns, without those that overlap an item; each row is judged by its own text."""
+    bad = flagged(documents, items, settings, id_col, text_col).select(F.col(id_col).alias("bad"), "text_key")
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    same = F.col("row").getField(id_col).eqNullSafe(F.col("bad")) & (F.xxhash64(F.col("row").getField(text_col)) == F.col("text_key"))
+    return rows.join(bad, same, "left_anti").select(*[F.col("row").getField(c).alias(c) for c in documents.columns])
 
 
 def report(documents: DataFrame, items: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row per row of documents: whether it overlaps an item, which ones, and where."""
-    found = flagged(documents, items, settings).withColumnRenamed("doc_id", "__id")
-    return documents.select("doc_id").join(found, F.col("doc_id") == F.col("__id"), "left").select(
+    """One row per row of documents: whether its text overlaps an item, which ones, and where."""
+    found = flagged(documents, items, settings).withColumnRenamed("doc_id", "of")
+    rows = documents.select("doc_id", F.xxhash64("text").alias("key"))
+    return rows.join(found, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("text_key")), "left").select(
         "doc_id",
-        F.col("__id").isNotNull().alias("contaminated"),
+        F.col("text_key").isNotNull().alias("contaminated"),
         F.coalesce(F.size("items").cast("long"), F.lit(0).cast("long")).alias("n_items"),
         F.coalesce(F.array_join(F.transform("items", lambda i: i.cast("string")), ","), F.lit("")).alias("items"),
         F.coalesce("overlaps", F.lit("")).alias("overlaps"),

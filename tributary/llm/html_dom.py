@@ -23,7 +23,10 @@ CLOSES = {
 ENDS_P = BLOCKS - {"body", "html", "head", "title", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "optgroup", "caption", "legend"}
 FENCES = frozenset("table ul ol dl select div section article aside nav footer header main form body html td th blockquote".split())
 
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'=]|=\s*"[^"]*"|=\s*'[^']*'|[="'])*?)>""")
+# Each sign is taken in one way only, so a tag that is never closed costs one pass. A quote that hides the end
+# of its tag counts as a plain sign then.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|[="'])*+)>""")
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 
 
@@ -45,7 +48,7 @@ def events(html: str) -> Iterator[tuple[str, str, str]]:
             stop = html.find(">", start)
             at = end if stop < 0 else stop + 1
         elif after.isascii() and after.isalpha() or after == "/":
-            tag = _TAG.match(html, start)
+            tag = _TAG.match(html, start) or _PLAIN_TAG.match(html, start)
             if not tag:
                 stop = html.find(">", start)
                 at = end if stop < 0 else stop + 1

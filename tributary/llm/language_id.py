@@ -107,7 +107,7 @@ def fit(documents: DataFrame, settings: Settings = Settings(), id_col: str = "do
     ).where("use AND label IS NOT NULL AND text IS NOT NULL")
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     each = max(8, settings.sample_rows // max(1, len(sizes)))
-    chosen = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.coalesce(*[
+    chosen = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < F.coalesce(*[
         F.when(F.col("label") == label, int((1 << 30) * min(1.0, each / n))) for label, n in sizes.items()], F.lit(0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +122,8 @@ def fit(documents: DataFrame, settings: Settings = Settings(), id_col: str = "do
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["id", "label", "at", "n"])
 
-    found = rows.where(chosen).select("id", "text", "label").mapInArrow(
+    # By id and text, over distinct rows: neither missing ids nor repeated rows make the sample larger.
+    found = rows.where(chosen).select("id", "text", "label").distinct().mapInArrow(
         run, "id long, label string, at binary, n binary").collect()
     found.sort(key=lambda r: (r["label"], r["id"] is None, r["id"] or 0, bytes(r["at"]), bytes(r["n"])))
     counts = np.zeros((len(found), settings.buckets), np.float32)

@@ -144,16 +144,23 @@ def components(documents: DataFrame, size: int = 4, bits: int = 4, id_col: str =
 
 def deduplicated(documents: DataFrame, size: int = 4, bits: int = 4, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """The documents, all columns, with one of each component: the one with the smallest id.
+    """The documents, all columns, with one of each component: the row with the smallest id, missing ids last.
 
-    Rows without an id stay; rows that repeat both id and text become one.
+    Each row is judged by its own text, so rows may share an id or have none. Rows that repeat id and text become one.
     """
-    found = components(documents, size, bits, id_col, text_col)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    named = documents.join(kept, key == F.col("__kept"), "left_semi")
-    named = named.withColumn("__text", F.xxhash64(text)).dropDuplicates([id_col, "__text"]).drop("__text")
-    return named.unionByName(documents.where(key.isNull()))
+    key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")
+    texts = documents.select(F.xxhash64(text).alias("text_key"), key.alias("id"), text.alias("text"))
+    # The first id of every text, before anything is joined: a text that many rows hold is one row then.
+    firsts = texts.groupBy("text_key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("first"))
+    groups = components(texts, size, bits, "text_key", "text").select(F.col("doc_id").alias("of"), "component_id").distinct()
+    kept = firsts.join(groups, F.col("text_key") == F.col("of")).groupBy("component_id").agg(
+        F.min(F.struct("first", "text_key")).alias("best")).select(
+        F.col("best.first.id").alias("best_id"), F.col("best.text_key").alias("best_text"))
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    rows = rows.withColumns({"row_id": F.col("row").getField(id_col), "row_text": F.xxhash64(F.col("row").getField(text_col).cast("string"))})
+    same = F.col("row_id").eqNullSafe(F.col("best_id")) & (F.col("row_text") == F.col("best_text"))
+    one = rows.join(kept, same, "left_semi").dropDuplicates(["row_id", "row_text"])
+    return one.select(*[F.col("row").getField(c).alias(c) for c in documents.columns])
 
 
 def report(documents: DataFrame) -> DataFrame:

@@ -190,7 +190,6 @@ def _shard_texts(documents: DataFrame, wanted: DataFrame, settings: Settings) ->
     lists = wanted.groupBy(F.col("doc_id").alias("of"), F.col("text_key").alias("of_text")).agg(
         F.collect_list(F.struct("key", "body", "start", "n", "top", "crowded")).alias("parts"))
     rows = documents.join(lists, (F.col("doc_id") == F.col("of")) & (F.col("text_key") == F.col("of_text")))
-    # Rows that repeat id and text have the same segments: one of them will do.
     rows = rows.select("doc_id", "text", "parts", "text_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,10 +264,16 @@ def removed_ranges(documents: DataFrame, settings: Settings = Settings()) -> Dat
     return hits.select("doc_id", "text_key", first.alias("first"), (first + F.col("windows") + settings.window - 1).alias("end"))
 
 
+def _once_each(rows: DataFrame) -> DataFrame:
+    """The rows with one of each id and text. Most tables repeat none and are not shuffled."""
+    repeated = rows.groupBy("doc_id", "text_key").count().where("count > 1")
+    return rows if repeated.isEmpty() else written(rows.dropDuplicates(["doc_id", "text_key"]))
+
+
 def report(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per document: its words, how many are removed, and a digest of the others joined by blanks."""
     rows = documents.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
-    ranges = removed_ranges(rows, settings).groupBy(F.col("doc_id").alias("of"), F.col("text_key").alias("of_text")).agg(
+    ranges = removed_ranges(_once_each(rows), settings).groupBy(F.col("doc_id").alias("of"), F.col("text_key").alias("of_text")).agg(
         F.collect_list(F.struct("first", "end")).alias("ranges"))
     joined = rows.join(ranges, (F.col("doc_id") == F.col("of")) & (F.col("text_key") == F.col("of_text")), "left")
 
