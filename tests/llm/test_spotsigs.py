@@ -18,9 +18,10 @@ def spots(text):
     """The signatures as word tuples."""
     words, found = brute.words_of(text), set()
     content = [i for i, w in enumerate(words) if w not in spotsigs.ANCHORS]
+    anchored = [i for i in content if i and words[i - 1] in spotsigs.ANCHORS]
     for n, i in enumerate(content):
-        if i == 0 or words[i - 1] in spotsigs.ANCHORS:
-            found.add((words[i - 1] if i else None, *[words[j] for j in content[n:n + spotsigs.CHAIN]]))
+        if i in anchored or i == 0 or not anchored:
+            found.add((words[i - 1] if i in anchored else None, *[words[j] for j in content[n:n + spotsigs.CHAIN]]))
     if found:
         return found
     return {(re.sub(r"(?<=\w)[\W_]+(?=\w)", " ", text.lower()),)} if text else set()
@@ -57,6 +58,15 @@ def test_edge_cases(spark):
         assert prints.setdefault(text, r["fingerprint"]) == r["fingerprint"]
 
 
+def test_texts_without_anchored_chains(spark):
+    listed = [f"item{k}" for k in range(200)]
+    rows = [(4, " ".join(listed)), (3, " ".join(["other", *listed[1:]])), (2, " ".join([*listed[:3], *(f"x{k}" for k in range(197))])),
+            (1, "the end")]
+    out = {r["doc_id"]: r for r in spotsigs.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got(out.values()) == dict(model(rows))
+    assert out[4]["n_signatures"] == 200 and out[4]["near_next"] > 0.95 and out[3]["near_next"] < 0.05
+
+
 def test_ties_single_rows_and_empty_tables(spark):
     schema = "doc_id long, text string"
     same = spark.createDataFrame([(5, "the one cat"), (5, "the one cat"), (5, "the one cat")], schema)

@@ -2,7 +2,8 @@
 
 Common words are anchors. Where a content word follows an anchor (or starts the text), the anchor and
 the chain of the next ``chain`` content words, common words skipped, form one signature; at the end of
-the text chains are shorter. The fingerprint of a text is the set of its signatures, 32 bits each.
+the text chains are shorter. In a text where no content word follows an anchor (lists, tables, other
+languages) a chain without an anchor starts at every content word, so no part of it goes unseen. The fingerprint of a text is the set of its signatures, 32 bits each.
 Fingerprints are compared by Jaccard. Only sets of similar length can reach a threshold, so the search
 partitions them by length, and joins them on the rarest signatures that any similar pair must share.
 
@@ -41,12 +42,22 @@ def signatures(text: Column, chain: int = CHAIN) -> Column:
     def chains(words: Column) -> Column:
         def content(word: Column, i: Column) -> Column:
             before = F.get(words, i - 1)
-            anchor = F.when(i == 0, F.lit(0).cast("long")).when(before.isin(ANCHORS), F.xxhash64(before))
-            return F.when(~word.isin(ANCHORS), F.struct(F.xxhash64(word).alias("h"), anchor.alias("anchor")))
+            anchor = F.when((i > 0) & before.isin(ANCHORS), F.xxhash64(before))
+            return F.when(~word.isin(ANCHORS), F.struct(
+                F.xxhash64(word).alias("h"), anchor.alias("anchor"), (i == 0).alias("first")))
 
+        def starts(found: Column) -> Column:
+            def of(anchored: Column) -> Column:
+                here = lambda c, i: F.when(~anchored | c["first"] | c["anchor"].isNotNull(), i)
+                return F.filter(F.transform(found, here), lambda i: i.isNotNull())
+
+            return let(F.exists(found, lambda c: c["anchor"].isNotNull()), of)
+
+        none = F.lit(0).cast("long")
         return let(F.filter(F.transform(words, content), lambda c: c.isNotNull()), lambda found: F.transform(
-            F.filter(F.transform(found, lambda c, i: F.when(c["anchor"].isNotNull(), i)), lambda i: i.isNotNull()),
-            lambda i: F.hash(F.get(found, i)["anchor"], *[F.get(found, i + k)["h"] for k in range(chain)]),
+            starts(found),
+            lambda i: F.hash(
+                F.coalesce(F.get(found, i)["anchor"], none), *[F.get(found, i + k)["h"] for k in range(chain)]),
         ))
 
     words = F.filter(F.split(F.lower(text), WORD_GAP), lambda w: w != "")
