@@ -1,3 +1,6 @@
+import math
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -59,6 +62,42 @@ def test_edge_cases(spark):
     assert language_id.report(df.limit(0)).count() == 0
 
 
+def test_foreign_and_junk_texts_are_rejected(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model, rng = language_id.fit(docs), random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    foreign = {
+        "letters": ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(400)],
+        "fi": "talo oli vanha ja sen ovi aukesi hitaasti kun mies tuli sisään eikä kukaan kuullut mitään".split(),
+        "pl": "dom był stary a jego drzwi otwierały się powoli kiedy człowiek wszedł do środka".split(),
+        "ru": "дом был старый и дверь медленно открылась когда человек вошел внутрь".split(),
+    }
+    for name, words in foreign.items():
+        for n in (20, 100, 1000):
+            assert language_id.predict(" ".join(rng.choice(words) for _ in range(n)), model)[2], (name, n)
+    rows = [r for r in docs.collect() if r["lang"] and any(c.isalpha() for c in r["text"] or "")]
+    assert sum(language_id.predict(r["text"], model)[2] for r in rows) <= 0.005 * len(rows)
+
+
+def test_prediction_is_the_nearest_centroid(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language_id.fit(docs)
+    for r in docs.orderBy("n_chars").limit(40).collect():
+        counts = slow_counts(r["text"], model.settings)
+        if counts is None:
+            assert language_id.predict(r["text"], model) == ("und", 0.0, True)
+            continue
+        vector = [math.log1p(c) * w for c, w in zip(counts, model.weights)]
+        size = math.sqrt(sum(v * v for v in vector))
+        near = [sum(v * c for v, c in zip(vector, centre)) / size for centre in model.centroids]
+        best = max(range(len(near)), key=near.__getitem__)
+        lang, score, rejected = language_id.predict(r["text"], model)
+        assert abs(score - near[best]) < 1e-5 and near[model.languages.index(lang)] <= near[best] + 1e-5
+        assert max(s for s, name in zip(near, model.languages) if name == lang) > near[best] - 1e-5
+        bound = model.floors[best] * min(1.0, sum(counts) / model.settings.full_grams)
+        assert rejected == (score < bound) or abs(score - bound) < 1e-5
+
+
 def test_held_out_accuracy_and_inputs(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = op4_language_id(spark, sf_dir)

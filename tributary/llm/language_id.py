@@ -4,7 +4,8 @@ A text becomes a vector of hashed n-grams of its lower-cased letters (1 to 3, a
 as a sign), weighted by log frequency and inverse document frequency and normalised. The training texts
 of a language are clustered by cosine into a few centroids; a text gets the language of the nearest one.
 A text whose nearest centroid is farther than the distance bound of its language is rejected: the
-language is still named, but not trusted. The bound comes from the language's own training texts.
+language is still named, but not trusted. The bound comes from the language's own training texts. Few
+letters tell little, so the bound of a short text falls in proportion to its n-grams.
 
 The model is fitted on a sample of about ``sample_rows`` labelled texts (the same expected number of each
 language, chosen by a hash of the id), whole texts, whose sparse vectors go to the driver: at most
@@ -37,8 +38,9 @@ class Settings:
     longest: int = 3
     centroids: int = 4
     rounds: int = 12
-    slack: float = 0.3  # a text may be this much less similar than the least similar training texts
+    slack: float = 0.5  # the bound, as a share of the similarity of the least similar training texts
     quantile: float = 0.02  # the share of training texts that count as least similar
+    full_grams: int = 192  # n-grams (about three a letter) from which on the whole bound holds
 
 
 @dataclass(frozen=True)
@@ -153,7 +155,8 @@ def predict(text: str | None, model: Model) -> tuple[str, float, bool]:
         return UNKNOWN, 0.0, True
     near = model.centroids @ _normal(counts, model.weights)
     best = int(near.argmax())
-    return model.languages[best], float(min(1.0, max(0.0, near[best]))), bool(near[best] < model.floors[best])
+    bound = model.floors[best] * min(1.0, counts.sum() / model.settings.full_grams)
+    return model.languages[best], float(min(1.0, max(0.0, near[best]))), bool(near[best] < bound)
 
 
 def identified(documents: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
