@@ -84,6 +84,14 @@ def test_edge_cases(spark):
     assert {(r["n_known"], r["train_tokens"]) for r in subword_lm.report(held).collect()} == {(0, 0)}
 
 
+def test_words_common_in_held_out_texts_only_or_long(spark):
+    rows = [(d, ("y" * 200 + " some") if zlib.crc32(str(d).encode()) % 5 == 1 else "z" * 70) for d in range(100)]
+    rows += [(d, None) for d in range(100, 140)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for frequent in (1, 3, 200_000):
+        same(subword_lm.report(df, subword_lm.Settings(frequent=frequent)).collect(), model(rows))
+
+
 def test_query_against_model(spark, sf_dir):
     docs = [(r[0], r[1]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     same(op5_subword_lm(spark, sf_dir).collect(), model(docs))

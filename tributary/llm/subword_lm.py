@@ -6,9 +6,10 @@ into pieces, by a forward recursion in log space. No piece crosses a blank, so t
 are independent given the scores, and a word is scored once however often it occurs.
 
 The table of words (count in training texts, lattice score) covers the whole corpus. Words so common
-that each makes up a share of at least ``1 / frequent`` of the training tokens, of which there are at
-most ``frequent``, are sent to every task, which adds them up on the spot; the other words of a document
-are joined with the table. A third of the corpus in one word is thus never one task's work.
+that each makes up a share of at least ``1 / frequent`` of all words, of which there are at most
+``frequent``, are sent to every task, which adds them up on the spot; the other words of a document are
+joined with the table. Words count whether the model learns from their texts or not. Long ones need a
+share for every ``WORD_BYTES`` bytes begun, so what is sent has ``frequent * WORD_BYTES`` bytes at most.
 
 Null, empty and blank texts have the end token only. Repeated rows and ids are rows of their own.
 """
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from tributary.llm.common import fold_of, written
 
 FLUSH = 200_000  # words or rows held by a task before it hands them on
-COMMON_BYTES = 64  # longer words are never sent to all tasks
+WORD_BYTES = 64
 
 
 @dataclass(frozen=True)
@@ -77,15 +78,15 @@ def lattice(word: bytes, scores: dict[bytes, float], longest: int) -> float:
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """``word, c``: how often each word of the corpus occurs in the rows with ``train``."""
+    """``word, c, n``: how often each word of the corpus occurs in the rows with ``train``, and in all rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        train, other = Counter(), set()
+        train, other = Counter(), Counter()
 
         def out() -> pa.RecordBatch:
-            other.difference_update(train)
+            words = [*train, *[w for w in other if w not in train]]
             batch = pa.RecordBatch.from_arrays(
-                [pa.array([*train, *other], pa.binary()), pa.array([*train.values(), *[0] * len(other)], pa.int64())],
-                ["word", "c"])
+                [pa.array(words, pa.binary()), pa.array([train[w] for w in words], pa.int64()),
+                 pa.array([train[w] + other[w] for w in words], pa.int64())], ["word", "c", "n"])
             train.clear(), other.clear()
             return batch
 
@@ -96,8 +97,8 @@ def word_counts(rows: DataFrame) -> DataFrame:
                     yield out()
         yield out()
 
-    counted = rows.select("train", "text").mapInArrow(run, "word binary, c long")
-    return counted.groupBy("word").agg(F.sum("c").alias("c"))
+    counted = rows.select("train", "text").mapInArrow(run, "word binary, c long, n long")
+    return counted.groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
 
 def piece_scores(words: DataFrame, ends: int, settings: Settings) -> tuple[dict[bytes, float], float]:
@@ -134,15 +135,15 @@ def scored_words(words: DataFrame, scores: dict[bytes, float]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [lattice(b" " + w, sent.value, longest) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], ["word", "c", "s"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], ["word", "c", "n", "s"])
 
-    return words.select("word", "c").mapInArrow(run, "word binary, c long, s double")
+    return words.select("word", "c", "n").mapInArrow(run, "word binary, c long, n long, s double")
 
 
 def _sums(rows: DataFrame, common: dict[bytes, tuple[float, float, int]]) -> DataFrame:
     """The words of each row that are not common, ``tf`` each; the sums of the common ones with one of them.
 
-    A text without other words gives one row with an empty word.
+    A text without other words gives one row, under a word of its own that no text has.
     """
     sent = rows.sparkSession.sparkContext.broadcast(common)
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
@@ -174,7 +175,7 @@ def _sums(rows: DataFrame, common: dict[bytes, tuple[float, float, int]]) -> Dat
                         known += tf * found[2]
                     n += tf
                 if not rest:
-                    rest, times = [b""], [0]
+                    rest, times = [b" %d" % row], [0]  # words have no blanks; many such rows do not meet
                 more = [0] * (len(rest) - 1)
                 for column, values in zip(out, (
                     [row] * len(rest), [doc] * len(rest), rest, times, [base, *more], [score, *more], [n, *more], [known, *more],
@@ -196,16 +197,18 @@ def score(documents: DataFrame, training: Column, settings: Settings = Settings(
         F.coalesce(training, F.lit(False)).alias("train"))
     counts = written(word_counts(rows))
     ends = rows.where("train").count()
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
-    tokens, distinct = total["n"] + ends, total["v"] + (ends > 0)
+    total = counts.agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("c"), F.count_if(F.col("c") > 0).alias("v"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    tokens, distinct = total["c"] + ends, total["v"] + (ends > 0)
     pieces, end = piece_scores(counts, ends, settings)
     words = written(scored_words(counts, pieces))
     scale = tokens + 0.5 * (distinct + 1)
     base = lambda c: math.log10((c + 0.5) / scale)
-    often = words.where((F.col("c") * settings.frequent >= tokens) & (F.col("c") > 0) & (F.length("word") <= COMMON_BYTES))
-    common = {bytes(r["word"]): (base(r["c"]), r["s"], 1) for r in often.collect()}
+    often = words.where(F.col("n") * settings.frequent >= F.lit(total["n"]) * F.ceil(F.length("word") / WORD_BYTES))
+    common = {bytes(r["word"]): (base(r["c"]), r["s"], int(r["c"] > 0)) for r in often.collect()}
     sums = _sums(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), common)
-    table = words.withColumnRenamed("word", "w")
+    table = words.select(F.col("word").alias("w"), "c", "s")
     joined = sums.join(table, F.col("word") == F.col("w"), "left")
     tf, c = F.col("tf"), F.coalesce("c", F.lit(0))
     added = joined.groupBy("row").agg(
