@@ -110,26 +110,35 @@ def _decontaminate_sql(settings: decontaminate.Settings) -> str:
     )
     words = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
 
-    def placed(table: str, key: str) -> str:
+    def placed(table: str) -> str:
         return f"""SELECT id, ws, pos, unnest([{seeds}]) AS seed FROM (
-    SELECT {key} AS id, ws, unnest(range(len(ws) - {span - 1})) AS pos
-    FROM (SELECT {key}, {words} AS ws FROM {table} WHERE {key} IS NOT NULL) WHERE len(ws) >= {span})"""
+    SELECT id, ws, unnest(range(len(ws) - {span - 1})) AS pos FROM {table} WHERE len(ws) >= {span})"""
 
     return f"""
-WITH d AS ({placed("documents", "doc_id")}),
-b AS ({placed("benchmark", "item_id")}),
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS id, doc_id, {words} AS ws FROM documents),
+tests AS (SELECT item_id AS id, {words} AS ws FROM benchmark WHERE item_id IS NOT NULL),
+d AS ({placed("docs")}),
+b AS ({placed("tests")}),
 hits AS (
   SELECT DISTINCT d.id, b.id AS item, d.pos, b.pos AS item_pos, d.ws, b.ws AS item_ws,
     least({flank}, d.pos, b.pos) AS l, least({span + flank}, len(d.ws) - d.pos, len(b.ws) - b.pos) AS r
   FROM d JOIN b ON d.seed = b.seed
 ),
 compared AS (
-  SELECT id, item, pos, item_pos, l, r, CAST(count(*) FILTER (ws[pos + k + 1] = item_ws[item_pos + k + 1]) AS DOUBLE) / (l + r) AS share
+  SELECT id, item, pos, item_pos, l, r, CAST(count(*) FILTER (ws[pos + k + 1] = item_ws[item_pos + k + 1]) AS DOUBLE) / (l + r) AS share,
+    bool_and(ws[pos + k + 1] = item_ws[item_pos + k + 1]) FILTER (k BETWEEN 0 AND {span - 1}) AS same
   FROM (SELECT *, unnest(range(-l, r)) AS k FROM hits) GROUP BY id, item, pos, item_pos, l, r
 ),
 spans AS (
-  SELECT id, item, min(pos - l) AS s, max(pos + r) AS e, max(share) AS share
-  FROM compared WHERE share >= {settings.agree} GROUP BY id, item, pos - item_pos
+  SELECT id, item,
+    coalesce(min(pos - l) FILTER (share >= {settings.agree}), min(pos) FILTER (same)) AS s,
+    coalesce(max(pos + r) FILTER (share >= {settings.agree}), max(pos + {span}) FILTER (same)) AS e,
+    coalesce(max(share) FILTER (share >= {settings.agree}), 1.0) AS share
+  FROM compared WHERE same OR share >= {settings.agree} GROUP BY id, item, pos - item_pos
+  UNION ALL
+  SELECT p.id, t.id, pos, pos + len(t.ws), 1.0::DOUBLE
+  FROM (SELECT id, ws, unnest(range(len(ws))) AS pos FROM docs) p
+  JOIN (SELECT * FROM tests WHERE len(ws) BETWEEN 1 AND {span - 1}) t ON p.ws[pos + 1] = t.ws[1] AND p.ws[pos + 1:pos + len(t.ws)] = t.ws
 ),
 found AS (
   SELECT id, count(DISTINCT item) AS n_items, max(share) AS agree
@@ -142,7 +151,7 @@ places AS (
 )
 SELECT doc_id, found.id IS NOT NULL AS contaminated, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   coalesce(items, '') AS items, coalesce("overlaps", '') AS "overlaps", coalesce(agree, 0.0::DOUBLE) AS agree
-FROM documents LEFT JOIN found ON found.id = doc_id LEFT JOIN items ON items.id = doc_id LEFT JOIN places ON places.id = doc_id"""
+FROM docs LEFT JOIN found ON found.id = docs.id LEFT JOIN items ON items.id = docs.id LEFT JOIN places ON places.id = docs.id"""
 
 
 ORACLE_SQL: dict[str, str] = {
