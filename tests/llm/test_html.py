@@ -100,6 +100,52 @@ def test_edge_cases(spark, model):
     assert html_extract.report(df.where("page_id IN (1, 2, 3)")).count() == 3
 
 
+def unmarked(k):
+    body = "".join(f"<p>{k} {j} {PARAGRAPH * 2}</p>" for j in range(3 + k % 4))
+    name = ("content", "story", "x1", "page-body")[k % 4]
+    return page(f"<div class='menu'><ul>{MENU}</ul></div><div class='{name}'><h1>Title {k}</h1>{body}</div>"
+                f"<div class='sidebar'><p>{PARAGRAPH}</p></div><div class='footer'><p>(c) Us, {k}</p></div>"), [
+        f"Title {k}", *(f"{k} {j} {PARAGRAPH * 2}".strip() for j in range(3 + k % 4))]
+
+
+@pytest.mark.parametrize("marked", [0, 1])
+def test_tables_that_mark_few_or_no_articles(spark, marked):
+    made = [unmarked(k) for k in range(1000 if marked else 60)]
+    rows = [(k, f"u{k}", html) for k, (html, _) in enumerate(made)]
+    rows += [(-k, f"m{k}", page(LAYOUTS["plain"])) for k in range(1, marked + 1)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r["page_id"]: r["text"].split("\n") for r in html_extract.report(df).collect()}
+    assert all(out[k] == want for k, (_, want) in enumerate(made))
+    assert all(out[-k] == EXPECTED for k in range(1, marked + 1))
+
+
+def decoded_slowly(p, logits, rows, settings):
+    """The best sum over all subtrees that hold the root, by listing them; -inf for what is hidden."""
+    n = len(p.nodes)
+    own, hidden = (rows[:, html_extract.NAMES.index(x)] for x in ("own_log", "hidden_above"))
+    gain = [float("-inf") if hidden[i] else float(np.clip(logits[i], -6, 6)) * (1 + own[i] if own[i] > 0 else settings.container)
+            for i in range(n)]
+    best = 0.0
+    for mask in range(1 << n):
+        kept = [mask >> i & 1 for i in range(n)]
+        if all(not k or i == 0 or kept[p.nodes[i].parent] for i, k in enumerate(kept)):
+            best = max(best, sum(g for g, k in zip(gain, kept) if k))
+    return best, gain
+
+
+def test_decoding_against_all_subtrees():
+    rng, settings = np.random.default_rng(4), html_extract.Settings()
+    for html in ("<div><p>a</p><p>b<b>c</b></p><script>x</script></div><div>d<ul><li>e</ul></div>", "<p>x", "",
+                 "<main><div hidden><p>a</p></div><div><div><p>b</p></div></div></main><p>c</p>"):
+        p = parse(html)
+        rows = html_extract.features(p)
+        for _ in range(20):
+            logits = rng.normal(size=len(p.nodes)) * 4
+            best, gain = decoded_slowly(p, logits, rows, settings)
+            kept = html_extract.decode(p, logits, rows, settings)
+            assert sum(g for g, k in zip(gain, kept) if k) == pytest.approx(best)
+
+
 def test_query_against_the_markup(spark, sf_dir):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     out = op7_html_extract(spark, sf_dir).collect()

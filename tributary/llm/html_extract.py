@@ -8,8 +8,10 @@ element under a dropped one is never kept, and one with kept descendants is neve
 There are no labelled pages, so the trees learn from pages that mark themselves up: an element counts as
 main text if it is in an article, outside menus, notices and the like. Each sampled page is also seen
 with its own boilerplate of other kinds put in, and with the telling tags and attributes taken away, so
-that density and place are learned too. The sample is about ``sample_pages`` pages (by a hash of the
-url), at most ``page_nodes`` elements of each; whole pages are parsed.
+that density and place are learned too. The sample is about ``sample_pages`` pages (by a hash of url and
+page) of those that hold such marks, at most ``page_nodes`` elements of each; whole pages are parsed. If
+fewer pages hold marks, it is filled up from the others, whose main text is taken to be the element that
+holds most running text of its own or its children, without notices and the like.
 
 Null and empty pages have no text, neither have pages without an element. Rows are independent.
 """
@@ -122,11 +124,31 @@ def features(page: Page, tags: list[str] | None = None, words: list[set[str]] |
             np.log1p(text[up] if up >= 0 else text[0]),
         )
         before += own[i]
-    return out
+    return out.astype(np.float32).astype(float)  # as exact as what the trees learn from
+
+
+#: Holds for every page with an article of its own, before it is parsed.
+MARKS = r"(?i)<(article|main)|articlebody|role\s*=\s*[\"']?(main|article)"
+
+
+def densest(page: Page, outside: list[bool]) -> int:
+    """The element that holds most text outside links, of its own or of its children and their inline elements."""
+    nodes = page.nodes
+    held, block = [0] * len(nodes), list(range(len(nodes)))
+    for i, x in enumerate(nodes):
+        if x.parent >= 0 and x.tag not in BLOCKS:
+            block[i] = block[x.parent]
+        size = len(" ".join("".join(x.own).split()))
+        if outside[i] or x.tag == "a" or not size:
+            continue
+        held[block[i]] += size
+        if (up := nodes[block[i]].parent) >= 0:
+            held[block[up]] += size
+    return max(range(len(nodes)), key=held.__getitem__)
 
 
-def self_marked(page: Page) -> list[bool] | None:
-    """Whether each element is main text by the page's own markup; None if the page marks no article."""
+def self_marked(page: Page, by_text: bool = False) -> list[bool] | None:
+    """Whether each element is main text by the page's own markup, or else by its text; None if neither tells."""
     nodes, marked, found = page.nodes, [], False
     inside, outside = [False] * len(nodes), [False] * len(nodes)
     for i, x in enumerate(nodes):
@@ -139,7 +161,12 @@ def self_marked(page: Page) -> list[bool] | None:
         found |= inside[i]
         marked.append(inside[i] and not outside[i])
     if not found:
-        return None
+        if not by_text:
+            return None
+        top = densest(page, outside)
+        for i, x in enumerate(nodes):
+            inside[i] = i == top or x.parent >= 0 and inside[x.parent]
+            marked[i] = inside[i] and not outside[i]
     for i in range(len(nodes) - 1, 0, -1):  # what holds main text is no boilerplate
         if marked[i] and nodes[i].parent >= 0:
             marked[nodes[i].parent] = True
@@ -165,7 +192,8 @@ KEEPERS = ("<ul><li>{0}</li><li>{1}</li></ul>", "<blockquote><p>{0}</p></blockqu
 def lessons(html: str, limit: int) -> list[tuple[np.ndarray, list[bool]]]:
     """Features and labels of a page and its variants."""
     page = parse(html)
-    if self_marked(page) is None:
+    by_text = re.search(MARKS, html) is None
+    if self_marked(page, by_text) is None:
         return []
     rng = random.Random(sha256(html.encode("utf-8", "surrogatepass")).digest())
     texts = [" ".join(t.split()) for _, _, t in page.parts if len(t.split()) > 2] or ["some text here"]
@@ -188,7 +216,7 @@ def lessons(html: str, limit: int) -> list[tuple[np.ndarray, list[bool]]]:
     out = []
     for text in (html, longer):
         tree = page if text is html else parse(text)
-        marked = self_marked(tree)
+        marked = self_marked(tree, by_text)
         tags, words = [x.tag for x in tree.nodes], [tokens(x.attrs) for x in tree.nodes]
         bare = ["div" if t in GOOD_TAGS else t for t in tags]
         named = [w | ({rng.choice(sorted(GOOD_TOKENS))} if t in GOOD_TAGS else set()) for t, w in zip(tags, words)]
@@ -205,10 +233,16 @@ def lessons(html: str, limit: int) -> list[tuple[np.ndarray, list[bool]]]:
     return out
 
 
+TEACHERS = 16  # tasks that parse the sample
+
+
 def fit(pages: DataFrame, settings: Settings = Settings(), html_col: str = "html", key_col: str = "url") -> boosting.Trees:
     rows = pages.select(F.col(html_col).cast("string").alias("html"), F.xxhash64(F.col(key_col), F.col(html_col)).alias("key"))
-    rows = rows.where("html IS NOT NULL")
-    share = min(1.0, settings.sample_pages / max(1, rows.count()))
+    rows = rows.where("html IS NOT NULL").withColumn("marks", F.col("html").rlike(MARKS))
+    sizes = {r["marks"]: r["count"] for r in rows.groupBy("marks").count().collect()}
+    wanted = {True: settings.sample_pages, False: max(0, settings.sample_pages - sizes.get(True, 0))}
+    limit = F.coalesce(*[F.when(F.col("marks") == marks, int((1 << 30) * min(1.0, wanted[marks] / n)))
+                         for marks, n in sizes.items()], F.lit(0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,9 +254,9 @@ def fit(pages: DataFrame, settings: Settings = Settings(), html_col: str = "html
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["key", "number", "rows", "marked"])
 
-    chosen = rows.where(F.pmod("key", F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else rows
-    # About ``sample_pages`` pages, so what comes to the driver is bounded by the settings.
-    found = sorted(chosen.select("key", "html").distinct().mapInArrow(
+    # About ``sample_pages`` pages, so what comes to the driver is bounded by the settings; spread over tasks to be parsed.
+    chosen = rows.where(F.pmod("key", F.lit(1 << 30)) < limit).select("key", "html").repartition(TEACHERS, "key", "html")
+    found = sorted(chosen.distinct().mapInArrow(
         run, "key long, number int, rows binary, marked binary").collect(), key=lambda r: (r["key"], r["number"]))
     if not found:
         return boosting.fit(np.zeros((0, len(NAMES))), np.zeros(0))
