@@ -1,3 +1,8 @@
+from itertools import accumulate
+
+import pytest
+from pyspark.sql import functions as F
+
 from tests.llm import brute
 from tributary.llm import secret_scan
 from tributary.llm.queries import op2_secret_scan
@@ -62,3 +67,28 @@ def test_repeats_inside_a_key_and_lower_case_keys(spark):
     out = {r["doc_id"]: (r["spans"], r["n_entropy"]) for r in secret_scan.report(df).collect()}
     assert {i: n > 0 for i, (_, n) in out.items()} == {0: True, 1: True, 2: True, 3: False, 4: False}
     assert all(out[i][0] == brute.span_text(brute.all_secrets(t, secret_scan.Settings())) for i, t in enumerate(texts))
+
+
+def test_long_text_of_keys(spark):
+    """Thousands of spans, with spans that lie inside others, against the plain version's rules."""
+    keys = [f"{i * 2654435761 % 16 ** 12:012x}{i * 40503 * 2654435761 % 16 ** 12:012x}" for i in range(1, 3001)]
+    df = spark.createDataFrame([(1, " ".join(keys)), (2, "-".join(keys[:40]))], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in secret_scan.report(df).collect()}
+    assert out[1]["n_hex"] == 3000 and out[1]["n_entropy"] == 0
+    assert out[1]["spans"] == ",".join(f"hex:{25 * i}:{25 * i + 24}" for i in range(3000))
+    assert out[2]["spans"] == brute.span_text(brute.all_secrets("-".join(keys[:40]), secret_scan.Settings()))
+
+
+def test_running_results_across_blocks(spark):
+    for n in (0, 1, 255, 256, 257, 1025):
+        values = F.transform(F.sequence(F.lit(0), F.lit(n)), lambda x: x * 7919 % 1009)
+        row = spark.range(1).select(
+            secret_scan.running(F.slice(values, 2, n), lambda a, b: a + b).alias("sum"),
+            secret_scan.running(F.slice(values, 2, n), F.greatest).alias("max")).first()
+        numbers = [i * 7919 % 1009 for i in range(1, n + 1)]
+        assert row["sum"] == list(accumulate(numbers)) and row["max"] == list(accumulate(numbers, max))
+
+
+def test_window_has_a_bound():
+    with pytest.raises(ValueError):
+        secret_scan.Settings(window=208)

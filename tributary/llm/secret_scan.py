@@ -12,6 +12,7 @@ and null ids pass through, other columns are ignored by :func:`scan` and kept by
 """
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +26,7 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN_VALUE = 6
+ZERO = 48  # the character that stands for a count of 0
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 ALLOWED = (
@@ -58,23 +60,50 @@ class Settings:
     )
     allowed: tuple[str, ...] = field(default=ALLOWED)
 
+    def __post_init__(self):
+        if not 1 <= self.window < 256 - ZERO:
+            raise ValueError(f"a window has 1 to {255 - ZERO} characters")
 
-def located(text: Column, pattern: str) -> Column:
+
+def running(numbers: Column, add: Callable[[Column, Column], Column], block: int = 256) -> Column:
+    """Inclusive running results of an associative ``add`` over an array of ints, nulls passed over.
+
+    An array can only be copied to grow, so results are taken within blocks and then over their ends: the
+    work on n numbers is n * (block / 2) + (n / block) ** 2 / 2 instead of n ** 2 / 2.
+    """
+
+    def follow(values: Column) -> Column:
+        return F.aggregate(values, F.array().cast("array<int>"), lambda done, x: F.concat(
+            done, F.array(F.coalesce(add(F.get(done, F.size(done) - 1), x), x))))
+
+    def joined(blocks: Column, ends: Column) -> Column:
+        return F.flatten(F.transform(blocks, lambda b, i: F.transform(
+            b, lambda x: F.coalesce(add(F.get(ends, i - 1), x), x))))
+
+    def over(blocks: Column) -> Column:
+        return let(follow(F.transform(blocks, lambda b: F.get(b, F.size(b) - 1))), lambda ends: joined(blocks, ends))
+
+    def cut(values: Column) -> Column:
+        numbers_of_blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int"))
+        return F.when(F.size(values) == 0, values).otherwise(
+            let(F.transform(numbers_of_blocks, lambda b: follow(F.slice(values, b * block + 1, block))), over))
+
+    return let(numbers, cut)
+
+
+def located(text: Column, pattern: str | Column) -> Column:
     """Every match of a pattern that never matches the empty text: (start, found), leftmost first."""
-    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,found:string>>").alias("all"))
-
-    def add(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["gap"])
-        return F.struct(
-            (begin + F.length(pair["found"])).alias("at"),
-            F.concat(state["all"], F.array(F.struct(begin.alias("start"), pair["found"].alias("found")))).alias("all"),
-        )
 
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, f: F.struct(g.alias("gap"), f.alias("found")))
-    every = F.aggregate(pairs, start, add, lambda state: state["all"])
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+
+    def of(found: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+        ends = running(F.zip_with(gaps, found, lambda g, f: F.length(g) + F.length(f)), lambda x, y: x + y)
+        return F.zip_with(ends, found, lambda e, f: F.struct((e - F.length(f)).alias("start"), f.alias("found")))
+
     none = F.array().cast("array<struct<start:int,found:string>>")
-    return F.when(text.rlike(pattern), every).otherwise(none)
+    every = let(F.regexp_extract_all(text, pattern, F.lit(0)), of)
+    return F.when(F.rlike(text, pattern), every).otherwise(none)
 
 
 def _span(kind: int, start: Column, end: Column) -> Column:
@@ -85,25 +114,47 @@ def _whole(kind: int, matches: Column) -> Column:
     return F.transform(matches, lambda m: _span(kind, m["start"], m["start"] + F.length(m["found"])))
 
 
-def entropy_spans(run: Column, kind: CharacterClass, window: int) -> Column:
-    """Merged windows of a run, (b, e) within it, whose entropy reaches the bits of the class."""
+def _longest_first(spans: Column, own: int) -> Column:
+    return F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), (-s["end"]).alias("back"), F.lit(own).alias("own")))
+
+
+def uncovered(spans: Column, others: Column | None = None) -> Column:
+    """Entropy spans that lie inside none of the others; without others, inside none of themselves, each once.
+
+    By start, the longest first, whatever covers a span comes before it: the furthest end so far decides.
+    """
+    every = _longest_first(spans, 1)
+    if others is not None:
+        every = F.concat(_longest_first(others, 0), every)
+
+    def sweep(ordered: Column) -> Column:
+        counted = F.transform(ordered, lambda s: -s["back"] if others is None else F.when(s["own"] == 0, -s["back"]))
+        return let(running(counted, F.greatest), lambda furthest: F.transform(
+            F.filter(ordered, lambda s, i: (s["own"] == 1) & (F.coalesce(F.get(furthest, i - 1), F.lit(0)) < -s["back"])),
+            lambda s: _span(3, s["start"], -s["back"])))
+
+    return let(F.sort_array(every), sweep)
+
+
+def entropy_spans(run: Column, symbols: Column, highest: Column, window: int) -> Column:
+    """Merged windows of a run of some symbols, (b, e) within it, whose sum of c * log2(c) is not above the highest."""
     weight = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
     weights = F.array(*map(F.lit, weight))
-    symbols = F.transform(F.split(run, ""), lambda c: F.instr(F.lit(kind.symbols), c))
-    highest = window * (math.log2(window) - kind.bits)  # of the sum of c * log2(c)
+    ids = F.transform(F.split(run, ""), lambda c: F.instr(symbols, c))
+    # Counts are the characters of a text, one per symbol, so that a step writes two of them.
+    count = lambda n, symbol: F.ascii(F.substring(n, symbol, 1)) - ZERO
+    put = lambda n, symbol, c: F.overlay(n, F.char(c + ZERO), symbol, 1)
 
     def walk(ids: Column) -> Column:
         def step(state: Column, i: Column) -> Column:
             enters, leaves = F.get(ids, i - 1), F.coalesce(F.get(ids, i - 1 - window), F.lit(0))
-            n_in, n_out = F.get(state["n"], enters), F.get(state["n"], leaves)
+            n_in, n_out = count(state["n"], enters), F.when(leaves > 0, count(state["n"], leaves))
             gain = F.get(weights, n_in + 1) - F.get(weights, n_in)
             loss = F.when(leaves > 0, F.get(weights, n_out - 1) - F.get(weights, n_out)).otherwise(0.0)
             total = F.when(enters == leaves, state["sum"]).otherwise(state["sum"] + gain + loss)
-            counts = F.when(enters == leaves, state["n"]).otherwise(F.transform(
-                state["n"],
-                lambda c, j: c + F.when(j == enters, 1).otherwise(0)
-                - F.when((j == leaves) & (leaves > 0), 1).otherwise(0),
-            ))
+            left = F.when(leaves > 0, put(state["n"], leaves, n_out - 1)).otherwise(state["n"])
+            counts = F.when(enters == leaves, state["n"]).otherwise(put(left, enters, n_in + 1))
             last, before = F.get(state["spans"], F.size(state["spans"]) - 1), i - window
             joined = F.when(
                 (F.size(state["spans"]) > 0) & (last["e"] >= before),
@@ -116,12 +167,12 @@ def entropy_spans(run: Column, kind: CharacterClass, window: int) -> Column:
             )
 
         start = F.struct(
-            F.array_repeat(F.lit(0), len(kind.symbols) + 1).alias("n"), F.lit(0.0).alias("sum"),
+            F.repeat(F.lit(chr(ZERO)), F.length(symbols)).alias("n"), F.lit(0.0).alias("sum"),
             F.array().cast("array<struct<b:int,e:int>>").alias("spans"),
         )
         return F.aggregate(F.sequence(F.lit(1), F.size(ids)), start, step, lambda state: state["spans"])
 
-    return F.transform(F.array(symbols), walk)[0]
+    return let(ids, walk)
 
 
 def _entropy(text: Column, settings: Settings) -> Column:
@@ -130,16 +181,19 @@ def _entropy(text: Column, settings: Settings) -> Column:
         lambda c: ~F.coalesce(*[F.when(c["found"].rlike(p), True) for p in settings.allowed], F.lit(False)),
     )
 
-    def of(candidate: Column, kind: CharacterClass) -> Column:
-        return F.flatten(F.transform(located(candidate["found"], kind.run), lambda run: F.transform(
-            entropy_spans(run["found"], kind, settings.window),
+    classes = F.array(*[F.struct(
+        F.lit(kind.symbols).alias("symbols"), F.lit(kind.run).alias("run"),
+        F.lit(settings.window * (math.log2(settings.window) - kind.bits)).alias("highest"),
+    ) for kind in settings.classes])
+
+    def of(candidate: Column, kind: Column) -> Column:
+        return F.flatten(F.transform(located(candidate["found"], kind["run"]), lambda run: F.transform(
+            entropy_spans(run["found"], kind["symbols"], kind["highest"], settings.window),
             lambda s: _span(3, candidate["start"] + run["start"] + s["b"], candidate["start"] + run["start"] + s["e"]),
         )))
 
-    spans = F.flatten(F.transform(suspects, lambda c: F.concat(*[of(c, kind) for kind in settings.classes])))
-    # Spans of several classes of one string overlap: keep those that no other contains.
-    return let(F.array_distinct(spans), lambda all_: F.filter(all_, lambda s: ~F.exists(
-        all_, lambda o: (o["start"] <= s["start"]) & (o["end"] >= s["end"]) & (o != s))))
+    spans = F.flatten(F.transform(suspects, lambda c: F.flatten(F.transform(classes, lambda kind: of(c, kind)))))
+    return uncovered(spans)  # those of several classes of one string overlap
 
 
 def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings(),
@@ -159,8 +213,7 @@ def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
         .otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>")).alias("entropy"),
     )
     base = found.select(id_col, "text", "entropy", F.array_sort(F.concat("assign", "access", "hex")).alias("base"))
-    added = F.filter("entropy", lambda s: ~F.exists(
-        "base", lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])))
+    added = uncovered(F.col("entropy"), F.col("base"))
     return base.select(
         id_col, *["text"] * keep_text, "base", F.array_sort(F.concat("base", added)).alias("spans"))
 
