@@ -171,18 +171,18 @@ def bronze_load_history_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that arrived after a load: here the documents once more, one per line."""
-    layout, stage = _stage(spark, sf_dir)
-    refresh_pipe(spark, layout, stage, "document")
+    layout, stage = _stage(spark, sf_dir, array=False)
+    refresh_pipe(spark, layout, stage, "lines")
     source.write_files(source.order_documents(_facts(spark, sf_dir), 2), f"{stage}/late", array=False)
     return bronze.pending_files(spark, layout, stage).select(_file_no("name"))
 
 
 def bronze_pipe_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State of a pipe after its load, before and after more files arrive."""
-    layout, stage = _stage(spark, sf_dir)
-    pipe = refresh_pipe(spark, layout, stage, "document")
+    layout, stage = _stage(spark, sf_dir, array=False)
+    pipe = refresh_pipe(spark, layout, stage, "lines")
     loaded = pipe_status(spark, pipe, layout, stage)
-    source.write_files(source.order_documents(_facts(spark, sf_dir), 2), f"{stage}/late")
+    source.write_files(source.order_documents(_facts(spark, sf_dir), 2), f"{stage}/late", array=False)
     later = pipe_status(spark, pipe, layout, stage)
     rows = bronze.raw_orders(spark, layout).agg(F.count("*").alias("loaded_rows"))
     return rows.selectExpr("loaded_rows", "inline(array({})) AS (phase, execution_state, pending_files)".format(", ".join(
@@ -193,11 +193,11 @@ def bronze_pipe_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per round of a load whose second round finds files ten days older than those of the first."""
-    layout, stage = _stage(spark, sf_dir)
-    refresh_pipe(spark, layout, stage, "document")
-    source.write_files(source.order_documents(_facts(spark, sf_dir), 2), f"{stage}/late")
+    layout, stage = _stage(spark, sf_dir, array=False)
+    refresh_pipe(spark, layout, stage, "lines")
+    source.write_files(source.order_documents(_facts(spark, sf_dir), 2), f"{stage}/late", array=False)
     _set_age(spark, f"{stage}/late", days=10)
-    refresh_pipe(spark, layout, stage, "document")
+    refresh_pipe(spark, layout, stage, "lines")
     rows = bronze.raw_orders(spark, layout).withColumn("late", F.col("file_name").startswith("late/"))
     return rows.groupBy("late").agg(F.count("*").alias("documents"))
 
@@ -275,8 +275,8 @@ def stream_append_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = _facts(spark, sf_dir, layout.base)
     for revision in (1, 2):
         documents = source.in_batch(source.order_documents(facts, revision), revision)
-        source.write_files(documents, f"{stage}/r{revision}")
-        refresh_pipe(spark, layout, stage, "document")
+        source.write_files(documents, f"{stage}/r{revision}", array=False)
+        refresh_pipe(spark, layout, stage, "lines")
         change_stream(spark, layout).writeStream.option(
             "checkpointLocation", layout.checkpoint("seen")
         ).foreachBatch(deliver).trigger(availableNow=True).start().awaitTermination()
@@ -285,9 +285,9 @@ def stream_append_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_has_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the silver step has work, before the load, after it and after the step."""
-    layout, stage = _stage(spark, sf_dir)
+    layout, stage = _stage(spark, sf_dir, array=False)
     found = [("empty", has_data(spark, layout))]
-    refresh_pipe(spark, layout, stage, "document")
+    refresh_pipe(spark, layout, stage, "lines")
     found.append(("loaded", has_data(spark, layout)))
     call_step(spark, layout)
     found.append(("stepped", has_data(spark, layout)))
@@ -434,8 +434,8 @@ def run_steps(spark: SparkSession, sf_dir: str, snapshot_every: int | None = Non
     facts, stage = _facts(spark, sf_dir, layout.base), f"{layout.base}/stage"
     for revision in (1, 2):
         documents = source.in_batch(source.order_documents(facts, revision), revision)
-        source.write_files(documents, f"{stage}/r{revision}")
-        refresh_pipe(spark, layout, stage, "document")
+        source.write_files(documents, f"{stage}/r{revision}", array=False)
+        refresh_pipe(spark, layout, stage, "lines")
         call_step(spark, layout, snapshot_every=snapshot_every if revision == 1 else None)
     return layout
 
@@ -467,8 +467,8 @@ def silver_failed_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = _accounts(spark, layout).first()
     stage, facts = f"{layout.base}/stage", _facts(spark, sf_dir, layout.base)
     for part in ("a", "b"):
-        source.write_files(source.order_documents(facts, 3), f"{stage}/r3{part}")
-    refresh_pipe(spark, layout, stage, "document")
+        source.write_files(source.order_documents(facts, 3), f"{stage}/r3{part}", array=False)
+    refresh_pipe(spark, layout, stage, "lines")
     try:
         call_step(spark, layout)
         failed = False
