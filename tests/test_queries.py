@@ -73,3 +73,34 @@ def test_the_sql_notices_a_wrong_field(spark, duck, sf_dir, monkeypatch, change)
     result, cursor = QUERIES[name](spark, sf_dir), duck.execute(oracle_sql()[name])
     columns = [d[0] for d in cursor.description]
     assert rows_of(result.columns, result.collect()) != rows_of(columns, cursor.fetchall())
+
+
+def test_facts_shuffle_their_lines_by_order_only(spark, sf_dir):
+    """Customers and suppliers are joined before the lines, so no wide row is shuffled for them."""
+    from tributary.sources import order_documents as source
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = source.order_facts(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert "l_orderkey" in joins[0]
+
+
+def test_accepted_rows_of_an_insert_are_stored_before_the_merge(spark, sf_dir, monkeypatch):
+    from tributary.plans import queries
+
+    read = []
+    monkeypatch.setattr(queries, "merge_scd1", lambda target, source: read.append(source) or source)
+    QUERIES["merge_insert"](spark, sf_dir)
+    assert all("order_changes" in f or "batch_id=1" in f for f in read[0].inputFiles()) and read[0].inputFiles()
+
+
+def test_counted_lines_are_stored_compressed_and_not_shuffled(spark, sf_dir):
+    from tributary.plans import queries
+
+    _, stage, facts = queries._lines_stage(spark, sf_dir)
+    files = spark.read.text(stage)
+    assert all(f.endswith(".snappy") for f in files.inputFiles())
+    assert files.count() == facts.count() > 0
