@@ -104,3 +104,54 @@ def test_counted_lines_are_stored_compressed_and_not_shuffled(spark, sf_dir):
     files = spark.read.text(stage)
     assert all(f.endswith(".snappy") for f in files.inputFiles())
     assert files.count() == facts.count() > 0
+
+
+@pytest.fixture(scope="module")
+def few_orders(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("few")
+    tables = {
+        "region": "SELECT 1 r_regionkey, 'ASIA' r_name",
+        "nation": "SELECT 1 n_nationkey, 'INDIA' n_name, 1 n_regionkey",
+        "customer": "SELECT 1L c_custkey, 'C' c_name, 1 c_nationkey, 'AUTO' c_mktsegment",
+        "supplier": "SELECT 0L s_suppkey, 'S' s_name, 1 s_nationkey",
+        "part": "SELECT 1L p_partkey, 'P' p_name, 'TIN' p_type, 3 p_size, 9.5D p_retailprice",
+        "orders": "SELECT id o_orderkey, 1L o_custkey, 'O' o_orderstatus, 100.5D o_totalprice,"
+                  " TIMESTAMP_NTZ'1996-01-02 00:00:00' o_orderdate FROM range(31, 91)",
+        "lineitem": "SELECT id l_orderkey, 1L l_partkey, 0L l_suppkey, 1 l_linenumber, 2D l_quantity,"
+                    " TIMESTAMP_NTZ'1996-01-12 00:00:00' l_shipdate FROM range(31, 91)",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_new_rows_of_a_merge_are_stored_before_it(spark, few_orders):
+    """The merge itself looks for known keys once; the new rows it is given are not found again for each of its reads."""
+    result = QUERIES["merge_duplicate_reference"](spark, few_orders)
+    assert result._jdf.queryExecution().optimizedPlan().toString().count("Join LeftAnti") == 1
+    # 40 orders of batch 1, 20 that only batch 2 has (o_orderkey % 3 = 2), and those of them that come twice.
+    new = [key for key in range(31, 91) if key % 3 == 2]
+    keys = [int(row.order_id[4:]) for row in result.collect()]
+    assert sorted(keys) == sorted([*range(31, 91), *(key for key in new if key % 10 == 1)])
+    assert result.where("known_twice_fails").count() == len(keys)
+
+
+def test_tasks_that_make_order_rows_follow_the_orders(spark, few_orders, monkeypatch):
+    """A file of facts per so many orders and a task per file, whatever the number of cores; settings are put back."""
+    from tributary.plans import queries
+
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes",
+             "spark.sql.files.maxRecordsPerFile", "spark.sql.codegen.hugeMethodLimit")
+    before, tasks, publish = [spark.conf.get(n) for n in names], [], queries.publish
+
+    def noted(rows, table, batch):
+        if batch.startswith("batch_id="):
+            tasks.append(rows.rdd.getNumPartitions())
+        publish(rows, table, batch)
+
+    monkeypatch.setattr(queries, "publish", noted)
+    monkeypatch.setattr(queries, "FACTS_IN_FILE", 4)
+    first, second = queries._batches(spark, few_orders, 1, 2)
+    assert (first.count(), second.count()) == (40, 40)
+    assert tasks[0] >= 15 and tasks[1] >= 15
+    assert [spark.conf.get(n) for n in names] == before
