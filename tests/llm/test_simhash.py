@@ -95,3 +95,10 @@ def test_edge_cases(spark):
 def test_query_against_model(spark, sf_dir):
     docs = [(r[0], print_of(r[1])) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, op3_simhash(spark, sf_dir).collect())) == sorted(model(docs))
+
+
+def test_points_of_a_small_table_are_not_broadcast(spark, tmp_path):
+    spark.range(300).selectExpr("xxhash64(id) AS fp").write.parquet(str(tmp_path / "nodes"))
+    links = simhash.links(spark.read.parquet(str(tmp_path / "nodes")))
+    assert "BroadcastHashJoin" not in links._jdf.queryExecution().executedPlan().toString()
+    assert links.count() == 0

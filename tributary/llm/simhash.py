@@ -81,8 +81,9 @@ def links(nodes: DataFrame, bits: int = 4) -> DataFrame:
     here = F.when(F.col("point") >= LOWER, F.bit_count(apart) > 2).otherwise(
         (F.bit_count(apart) <= 2) & (F.col("point") == meets))
     close = F.bit_count(a.bitwiseXOR(b)) <= bits
-    return lookups.join(entries.withColumnRenamed("point", "at"), (F.col("point") == F.col("at")) & (a < b) & here & close
-                        ).select("a", "b")
+    # Spark takes the points, 34 or 66 of a node, for as small as the nodes, so it is told not to broadcast them.
+    return lookups.join(entries.withColumnRenamed("point", "at").hint("merge"),
+                        (F.col("point") == F.col("at")) & (a < b) & here & close).select("a", "b")
 
 
 SALTS = 16
