@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from tests.llm import brute
 from tributary.llm import decontaminate
 from tributary.llm.queries import op10_decontaminate
@@ -104,3 +106,15 @@ def test_columns_named_like_helpers(spark):
     df = spark.createDataFrame([(1, variant(), 5, 6)], "doc_id long, text string, text_key long, bad long")
     bench = spark.createDataFrame([(1, "quite other words")], "item_id long, text string")
     assert [tuple(r) for r in decontaminate.decontaminated(df, bench).collect()] == [(1, variant(), 5, 6)]
+
+
+def test_seeds_above_the_bound_are_not_broadcast(spark, tmp_path):
+    spark.createDataFrame([(1, variant()), (2, "tiny item")], "item_id long, text string").write.parquet(str(tmp_path / "items"))
+    bench = spark.read.parquet(str(tmp_path / "items"))
+    df = spark.createDataFrame([(5, variant(4)), (6, "clean"), (7, "a tiny item")], "doc_id long, text string")
+    for rows, sent in ((100, True), (1, False)):
+        settings = decontaminate.Settings(block_rows=rows)
+        test = decontaminate.seeds(bench.select("item_id", decontaminate.word_hashes(F.col("text")).alias("words")), settings).select("seed")
+        met = test.select("seed").join(decontaminate._sent(test, settings), "seed")
+        assert ("BroadcastHashJoin" in met._jdf.queryExecution().executedPlan().toString()) is sent
+        assert {r[0] for r in decontaminate.report(df, bench, settings).where("contaminated").select("doc_id").collect()} == {5, 7}

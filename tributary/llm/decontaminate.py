@@ -77,8 +77,9 @@ def _compared(settings: Settings) -> Column:
 
 
 def _sent(test: DataFrame, settings: Settings) -> DataFrame:
-    """Seeds of the test set: sent to every executor up to a number, beyond it joined by one shuffle."""
-    return F.broadcast(test) if test.count() <= settings.block_rows else test
+    """Seeds of the test set: sent to every executor up to a number, beyond it joined by one shuffle. Spark takes
+    the seeds for as small as the items, so it is told not to broadcast them then."""
+    return F.broadcast(test) if test.count() <= settings.block_rows else test.hint("merge")
 
 
 def _short_overlaps(ours: DataFrame, test: DataFrame, settings: Settings) -> DataFrame | None:
