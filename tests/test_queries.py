@@ -155,3 +155,48 @@ def test_tasks_that_make_order_rows_follow_the_orders(spark, few_orders, monkeyp
     assert (first.count(), second.count()) == (40, 40)
     assert tasks[0] >= 15 and tasks[1] >= 15
     assert [spark.conf.get(n) for n in names] == before
+
+
+@pytest.mark.parametrize("array, broken", [(False, False), (True, False), (False, True), (True, True)])
+def test_eight_files_however_many_tasks(spark, tmp_path, array, broken):
+    """One file per number, in order of the keys, however the documents lie; missing, negative and repeated keys come along."""
+    from tributary.sources import order_documents as source
+
+    keys = [None, None, -3, -3, 3, 3, 8, 8, *range(100, 200)]
+    rows = spark.createDataFrame([(key, f'{{"n":{n}}}') for n, key in enumerate(keys)], "o_orderkey long, document string")
+    source.write_files(rows.repartition(40), str(tmp_path / "stage"), array, broken, "gzip")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # so that tasks stay as many
+    try:
+        source.write_files(rows.repartition(40), str(tmp_path / "apart"), array, broken)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    for stage in ("stage", "apart"):
+        texts = {r[0]: r[1] for r in spark.read.option("recursiveFileLookup", "true").text(
+            str(tmp_path / stage), wholetext=True).selectExpr("_metadata.file_path", "value").collect()}
+        assert len(texts) == 10
+        for path, text in texts.items():
+            no = path.split("file_no=")[1].split("/")[0]
+            own = [n for n, key in enumerate(keys) if (key is None) == (no.startswith("__")) and (
+                key is None or math.fmod(key, 8) == int(no))]
+            assert text.startswith("[") == array
+            if broken and no == "3":
+                assert text.rstrip().endswith("}{")
+                continue
+            lines = text.rstrip("\n").split("\n")
+            assert len(lines) == len(own)
+            found = [int("".join(c for c in line if c.isdigit())) for line in lines]
+            assert sorted(found) == own and [keys[n] for n in found] == [keys[n] for n in own]
+            if array:
+                assert text == "[" + ",\n".join(f'{{"n":{n}}}' for n in found) + "]\n"
+
+
+def test_row_numbers_where_orders_lie_in_many_tasks(spark, few_orders):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = QUERIES["bronze_lines"](spark, few_orders).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    expected = {no: list(range(1, len([k for k in range(31, 91) if k % 8 == no]) + 1)) for no in range(8)}
+    assert {no: sorted(r["file_row_number"] for r in rows if r["file_no"] == no) for no in range(8)} == expected
