@@ -200,3 +200,26 @@ def test_row_numbers_where_orders_lie_in_many_tasks(spark, few_orders):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     expected = {no: list(range(1, len([k for k in range(31, 91) if k % 8 == no]) + 1)) for no in range(8)}
     assert {no: sorted(r["file_row_number"] for r in rows if r["file_no"] == no) for no in range(8)} == expected
+
+
+@pytest.mark.parametrize("name", ["bronze_shapes", "bronze_late_files", "bronze_lines", "bronze_documents"])
+def test_loaded_files_are_packed(spark, few_orders, tmp_path, monkeypatch, name):
+    from tributary.plans import queries
+
+    monkeypatch.setattr(queries, "shared_folder", lambda spark: str(tmp_path / "base"))
+    QUERIES[name](spark, few_orders).collect()
+    files = [f.name for f in (tmp_path / "base" / "stage").rglob("part-*")]
+    assert files and all(f.endswith(".gz") for f in files)
+
+
+def test_lines_are_shuffled_to_their_order_one_by_one(spark, few_orders):
+    """Gathered after the shuffle only: lines of an order lie in many tasks, and lists of one are longer than lines."""
+    from tributary.sources import order_documents as source
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = source.order_facts(spark, few_orders)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan[plan.index("ObjectHashAggregate"):].splitlines()
+    assert "ObjectHashAggregate" in lines[1] and "partial_collect_list" in lines[1]
